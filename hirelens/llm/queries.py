@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import piece_codec
+from . import line_dedup, mixing, piece_codec, sharding, topk, url_filter
+
+#: (verdict, host, path) of the registered URL query: fixed values.
+URL_RULES = [
+    ("block", "com", "/en/"),
+    ("allow", "example.com", "/en/7"),
+    ("allow", "net", "/de/"),
+    ("block", "example.net", "/de/8"),
+    ("block", "org", "/es/"),
+]
+#: Bytes of text in one shard of the registered sharding query.
+SHARD_BYTES = 1 << 20
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,13 +31,91 @@ def piece_model_path() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op2_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.scaled(_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op3_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
+
+
 def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_documents(_table(spark, sf_dir, "documents"), piece_model_path())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_piece_codec": op10_piece_codec}
+    return {
+        "op1_mixing": op1_mixing,
+        "op2_threshold_topk": op2_threshold_topk,
+        "op3_extendible_sharding": op3_extendible_sharding,
+        "op5_line_dedup": op5_line_dedup,
+        "op8_url_rules": op8_url_rules,
+        "op10_piece_codec": op10_piece_codec,
+    }
+
+
+_TOP_K = """
+WITH v AS (SELECT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_sum([a.q[i] * b.q[i] FOR i IN range(1, len(a.q) + 1)]) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+_SHARDS = f"""
+WITH d AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes FROM documents),
+c AS (SELECT doc_id, n_bytes, row_number() OVER (PARTITION BY doc_id, n_bytes) AS copy FROM d),
+h AS (SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), 'null'), n_bytes, copy)), 1, 15) AS BIGINT) AS h, copy FROM c),
+e AS (SELECT h.*, CAST(t.depth AS BIGINT) AS depth, h >> CAST(60 - t.depth AS INTEGER) AS p FROM h, range(0, 41) t(depth)),
+s AS (SELECT *, CAST(sum(n_bytes) OVER (PARTITION BY depth, p) AS BIGINT) AS shard_bytes, count(*) OVER (PARTITION BY depth, p) AS shard_docs FROM e),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, n_bytes, copy ORDER BY depth) AS nth FROM s WHERE shard_bytes <= {SHARD_BYTES} OR shard_docs = 1)
+SELECT doc_id, n_bytes, substr(lpad(bin(h), 60, '0'), 1, CAST(depth AS INTEGER)) AS shard, depth, shard_bytes, shard_docs FROM f WHERE nth = 1
+"""
+
+_LINES = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM d),
+e AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM l),
+k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM e),
+hot AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE hot.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN hot ON k.key = hot.key GROUP BY doc_id
+"""
+
+_URLS = r"""
+WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+r AS (SELECT *, CASE
+  WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/de/8') THEN 'example.net/de/8'
+  WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/7') THEN 'example.com/en/7'
+  WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/en/') THEN 'com/en/'
+  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/de/') THEN 'net/de/'
+  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/es/') THEN 'org/es/' END AS rule FROM u)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/en/', 'example.net/de/8', 'org/es/') THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_threshold_topk": _TOP_K,
+        "op3_extendible_sharding": _SHARDS,
+        "op5_line_dedup": _LINES,
+        "op8_url_rules": _URLS,
+    }
