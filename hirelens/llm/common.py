@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,13 +81,13 @@ def byte_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches of at most CHUNK_BYTES of the column (or one row), with their bytes and offsets."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches of at most limit bytes of the column (or one row), with their bytes and offsets."""
     for batch in batches:
         data, offsets = byte_buffer(batch.column(batch.schema.get_field_index(column)))
         row, n = 0, batch.num_rows
         while row < n:
-            end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, side="right")) - 1)
+            end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1)
             end = min(end, n)
             yield batch.slice(row, end - row), data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
             row = end
@@ -168,6 +169,46 @@ def gram_starts(row_offsets: np.ndarray, k: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
+def window_minima(keys: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of every run of width keys, by doubling."""
+    if len(keys) < width:
+        return keys[:0]
+    span = 1
+    while span * 2 <= width:
+        keys = np.minimum(keys[:-span], keys[span:])
+        span *= 2
+    return np.minimum(keys[: len(keys) - (width - span)], keys[width - span :]) if width > span else keys
+
+
+def row_sets(part: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column (as uint64) and the row of each."""
+    found = part.column(part.schema.get_field_index(column))
+    rows = np.repeat(np.arange(part.num_rows), np.asarray(pc.fill_null(pc.list_value_length(found), 0)))
+    return np.asarray(found.flatten()).view(np.uint64) if len(rows) else np.zeros(0, np.uint64), rows
+
+
+def members(values: np.ndarray, rows: np.ndarray, set_values: np.ndarray, set_rows: np.ndarray) -> np.ndarray:
+    """Whether each (row, value) is among the (row, value) of the sets; both rows ascend."""
+    out = np.zeros(len(values), bool)
+    at = np.unique(set_rows)
+    a, b = np.searchsorted(rows, at), np.searchsorted(rows, at, side="right")
+    c, d = np.searchsorted(set_rows, at), np.searchsorted(set_rows, at, side="right")
+    for i in range(len(at)):
+        out[a[i] : b[i]] = np.isin(values[a[i] : b[i]], set_values[c[i] : d[i]])
+    return out
+
+
+def row_texts(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    whole = data.tobytes()
+    return [whole[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+
+def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Which of n positions lie in any of the spans."""
+    edges = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
+    return np.cumsum(edges[:n]) > 0
+
+
 def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """list<int64> with the given n + 1 offsets over uint64 values."""
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.uint64).view(np.int64)))
