@@ -86,16 +86,17 @@ def remove_repeats(docs: DataFrame, text: bool = False) -> DataFrame:
     bounded_batches(docs.sparkSession)
     whole = documents(docs).withColumn("th", F.xxhash64("text"))
     found = materialise(whole.mapInArrow(_anchors, "doc_id long, th long, n_words long, sha string, anchors array<long>"))
-    firsts = found.where(f"n_words >= {LENGTH} and doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    firsts = materialise(found.where(f"n_words >= {LENGTH} and doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     states = found.join(firsts, "sha", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
     anchors = states.where("not copy and doc_id is not null").select("doc_id", F.explode("anchors").alias("anchor"))
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor")
+    # Written out, so that the join's both sides are plain exchanges, of which adaptive execution splits a hot anchor's.
+    shared = materialise(anchors.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("anchor"))
     seeds = anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("seeds"))
     marked = materialise(states.select("doc_id", "th", "n_words", "sha", "copy").join(seeds, "doc_id", "left"))
     searched = marked.where("seeds is not null and not copy").select("doc_id", "th", "seeds").dropDuplicates(["doc_id", "th"])
     seeded = materialise(whole.join(searched, ["doc_id", "th"]).select("doc_id", "text", "seeds"))
     found_runs = seeded.mapInArrow(_runs_of_seeds, "run long, doc_id long")
-    repeats = found_runs.groupBy("run").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("run", "least")
+    repeats = materialise(found_runs.groupBy("run").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("run", "least"))
     matched = found_runs.join(repeats, "run").where("doc_id > least").groupBy("doc_id").agg(F.collect_set("run").alias("matched"))
     cut = seeded.select("doc_id", "text").join(matched, "doc_id", "left").mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept string")
     if not text:

@@ -142,13 +142,14 @@ def remove_repeats(docs: DataFrame, kept: bool = False) -> DataFrame:
     bounded_batches(docs.sparkSession)
     whole = documents(docs).withColumn("th", F.xxhash64("text"))
     found = materialise(whole.mapInArrow(_phrases, "doc_id long, th long, n_bytes long, sha string, phrases array<long>"))
-    same = found.where(f"n_bytes >= {LENGTH}").groupBy("sha").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th")).alias("one")).where("copies > 1")
+    # Such tables are written out, so that a join's both sides are plain exchanges, of which adaptive execution splits a hot key's.
+    same = materialise(found.where(f"n_bytes >= {LENGTH}").groupBy("sha").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th")).alias("one")).where("copies > 1"))
     states = found.join(same.select("sha", "copies"), "sha", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
     ones = found.join(same.select("sha"), "sha", "left_anti").select("doc_id", "th", F.lit(1).cast("long").alias("copies"), "phrases")
     firsts = found.join(same.select("sha", "copies", F.col("one.doc_id").alias("one_id")), "sha").where(F.col("doc_id").eqNullSafe(F.col("one_id"))).dropDuplicates(["sha"])
     texts = ones.unionByName(firsts.select("doc_id", "th", "copies", "phrases")).where("size(phrases) > 0")
     phrases = texts.select("doc_id", "th", "copies", F.explode("phrases").alias("phrase"))
-    dictionary = phrases.groupBy("phrase").agg(F.sum("copies").alias("n")).where("n > 1").select("phrase")
+    dictionary = materialise(phrases.groupBy("phrase").agg(F.sum("copies").alias("n")).where("n > 1").select("phrase"))
     known = phrases.join(dictionary, "phrase").groupBy("doc_id", "th").agg(F.collect_set("phrase").alias("known"), F.max("copies").alias("copies"))
     known = known.withColumnsRenamed({"doc_id": "known_id", "th": "known_th"})
     placed = whole.join(known, F.col("doc_id").eqNullSafe(F.col("known_id")) & (F.col("th") == F.col("known_th")))
@@ -156,10 +157,10 @@ def remove_repeats(docs: DataFrame, kept: bool = False) -> DataFrame:
     placed = materialise(placed.where("copies = 1").unionByName(placed.where("copies > 1").dropDuplicates(["doc_id", "th"])).select(F.xxhash64("doc_id", "th").alias("key"), "doc_id", "th", "text", "known", "copies"))
     groups = materialise(placed.select("key", "text", "known", "copies").mapInArrow(_groups, "core long, context long, key long, copies long"))
     classes = materialise(groups.groupBy("core", "context").agg(F.sum("copies").alias("n"), F.min("key").alias("key")))
-    mixed = classes.groupBy("core").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1").select("core")
+    mixed = materialise(classes.groupBy("core").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1").select("core"))
     reading = classes.join(mixed, "core").groupBy("key").agg(F.collect_set("context").alias("open"))
     strings = placed.select("key", "text").join(reading, "key").mapInArrow(_strings, "string long, key long")
-    twice = strings.groupBy("string").count().where("count > 1").select("string")
+    twice = materialise(strings.groupBy("string").count().where("count > 1").select("string"))
     single = strings.join(twice, "string").groupBy("key").agg(F.collect_set("string").alias("strings"))
     repeated = groups.join(classes.where("n > 1").select("core", "context"), ["core", "context"]).groupBy("key").agg(F.collect_set("context").alias("whole"))
     lone = placed.where("copies = 1").select("key", "doc_id", "text").join(repeated, "key", "left").join(single, "key", "left")
