@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, piece_codec, sharding, topk, url_filter
+from . import line_dedup, mixing, piece_codec, sharding, substring_dedup, suffix_dedup, topk, url_filter
 
 #: (verdict, host, path) of the registered URL query: fixed values.
 URL_RULES = [
@@ -45,6 +45,10 @@ def op3_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -54,6 +58,10 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_documents(_table(spark, sf_dir, "documents"), piece_model_path())
 
@@ -63,8 +71,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": op1_mixing,
         "op2_threshold_topk": op2_threshold_topk,
         "op3_extendible_sharding": op3_extendible_sharding,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_line_dedup": op5_line_dedup,
         "op8_url_rules": op8_url_rules,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_piece_codec": op10_piece_codec,
     }
 
@@ -88,6 +98,17 @@ f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, n_bytes, copy ORDER BY d
 SELECT doc_id, n_bytes, substr(lpad(bin(h), 60, '0'), 1, CAST(depth AS INTEGER)) AS shard, depth, shard_bytes, shard_docs FROM f WHERE nth = 1
 """
 
+_SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, t.pos AS pos, array_to_string(words[t.pos:t.pos + 49], ' ') AS run FROM d, unnest(range(1, len(words) - 48)) t(pos)),
+f AS (SELECT *, min(doc_id) OVER (PARTITION BY run) < doc_id AS hit FROM w),
+g AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS at FROM f WHERE hit),
+e AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM d),
+k AS (SELECT e.doc_id, count(*) AS n_words, count(g.at) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY e.at) FILTER (WHERE g.at IS NULL), '') AS kept
+  FROM e LEFT JOIN g ON e.doc_id = g.doc_id AND e.at = g.at GROUP BY e.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
 _LINES = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM d),
@@ -116,6 +137,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_threshold_topk": _TOP_K,
         "op3_extendible_sharding": _SHARDS,
+        "op4_substring_dedup": _SUBSTRINGS,
         "op5_line_dedup": _LINES,
         "op8_url_rules": _URLS,
     }
