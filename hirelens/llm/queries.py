@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, piece_codec, sharding, substring_dedup, suffix_dedup, topk, url_filter
+from . import line_dedup, mixing, ngram_join, piece_codec, sharding, substring_dedup, suffix_dedup, topk, url_filter
 
 #: (verdict, host, path) of the registered URL query: fixed values.
 URL_RULES = [
@@ -54,6 +54,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(_table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_extendible_sharding": op3_extendible_sharding,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_line_dedup": op5_line_dedup,
+        "op6_ngram_join": op6_ngram_join,
         "op8_url_rules": op8_url_rules,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_piece_codec": op10_piece_codec,

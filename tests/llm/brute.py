@@ -35,3 +35,27 @@ def suffix(rows, length=400):
         spans = sum(1 for j in range(len(b)) if gone[j] and not (j and gone[j - 1]))
         out.append((i, len(b), sum(gone), spans, hashlib.sha256(bytes(x for j, x in enumerate(b) if not gone[j])).hexdigest()))
     return out
+
+
+def jaccard(rows, n, percent):
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set())
+    label = list(range(len(rows)))
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                x, y = find(i), find(j)
+                label[max(x, y)] = min(x, y)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return [(d, len(sets[i]), least.get(find(i), None)) for i, (d, _) in enumerate(rows)]
