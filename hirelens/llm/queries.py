@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ngram_join, piece_codec, sharding, substring_dedup, suffix_dedup, topk, url_filter
+from . import line_dedup, mixing, ngram_join, piece_codec, quality, sharding, substring_dedup, suffix_dedup, topk, url_filter
 
 #: (verdict, host, path) of the registered URL query: fixed values.
 URL_RULES = [
@@ -58,6 +58,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.verdicts(_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rules_frame(spark, URL_RULES))
 
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_substring_dedup": op4_substring_dedup,
         "op5_line_dedup": op5_line_dedup,
         "op6_ngram_join": op6_ngram_join,
+        "op7_quality_rules": op7_quality_rules,
         "op8_url_rules": op8_url_rules,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_piece_codec": op10_piece_codec,

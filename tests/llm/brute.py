@@ -59,3 +59,15 @@ def jaccard(rows, n, percent):
         if d is not None:
             least[find(i)] = min(least.get(find(i), d), d)
     return [(d, len(sets[i]), least.get(find(i), None)) for i, (d, _) in enumerate(rows)]
+
+
+def statistics(text):
+    raw = (text or "").encode()
+    words = raw.split()
+    seen = {}
+    for i in range(len(words) - 4):
+        seen.setdefault(tuple(words[i : i + 5]), []).append(i)
+    hit = {i + k for at in seen.values() if len(at) > 1 for i in at for k in range(5)}
+    lines = [x for x in (text or "").split("\n") if x.encode().split()]
+    joined = "".join(w.decode() for w in words)
+    return len(words), len(joined), sum(c in "#*$%&|<>" for c in joined), len(lines) - len(set(lines)), len(hit)
