@@ -21,7 +21,7 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Bytes of text that one vectorised step takes; a longer text is a step of its own.
 CHUNK_BYTES = 1 << 21
 #: Bytes of one Arrow batch that Spark sends to Python.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 _written: list[tuple[SparkSession, str]] = []
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents
+from .common import bounded_batches, documents, materialise
 
 
 def line_key(line: bytes) -> bytes:
@@ -71,6 +71,7 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     others = [docs[c] for c in docs.columns if c != "text"]
     keys = documents(docs).mapInArrow(_keys(min_chars), "doc_id long, high long, low long")
     hot = keys.groupBy("high", "low").agg(F.countDistinct(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()).alias("n")).where(F.col("n") >= min_docs).drop("n")
+    hot = materialise(hot)  # so that the join is of plain exchanges, of which adaptive execution splits a hot line's
     drops = keys.join(hot, ["high", "low"]).groupBy("doc_id").agg(F.collect_set(F.struct("high", "low")).alias("drop")).withColumnRenamed("doc_id", "drop_id")
     whole = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.struct(*others).alias("row"))
     joined = whole.join(drops, F.col("row.doc_id").cast("long").eqNullSafe(F.col("drop_id")), "left").select("text", "row", "drop")
