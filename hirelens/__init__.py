@@ -1 +1,3 @@
 """Job-market text analytics on Spark."""
+
+__version__ = "0.1"
