@@ -56,7 +56,7 @@ class Node:
         skip = ("script", "style")
         return separator.join(x.data for x in self.walk() if x.name is None and (x.parent is self or x.parent.name not in skip))
 
-    def matches(self, name: str | None, attrs: dict) -> bool:
+    def matches(self, name: str | None, attrs: dict, /) -> bool:
         if self.name is None or (name and self.name != name):
             return False
         for k, v in attrs.items():
@@ -68,11 +68,11 @@ class Node:
                 return False
         return True
 
-    def find_all(self, name: str | None = None, **attrs: str | None) -> list[Node]:
+    def find_all(self, name: str | None = None, /, **attrs: str | None) -> list[Node]:
         wanted = {k.rstrip("_"): v for k, v in attrs.items()}
         return [x for x in self.walk() if x.matches(name, wanted)]
 
-    def find(self, name: str | None = None, **attrs: str | None) -> Node | None:
+    def find(self, name: str | None = None, /, **attrs: str | None) -> Node | None:
         wanted = {k.rstrip("_"): v for k, v in attrs.items()}
         return next((x for x in self.walk() if x.matches(name, wanted)), None)
 
@@ -125,11 +125,11 @@ class Page:
         self.root = builder.root
         self.all = list(self.root.walk())
 
-    def after(self, node: Node, name: str | None = None, **attrs: str) -> Node | None:
+    def after(self, node: Node, name: str | None = None, /, **attrs: str) -> Node | None:
         wanted = {k.rstrip("_"): v for k, v in attrs.items()}
         return next((x for x in self.all[node.order :] if x.matches(name, wanted)), None)
 
-    def first_text(self, name: str, separator: str = "", **attrs: str | None) -> str | None:
+    def first_text(self, name: str, separator: str = "", /, **attrs: str | None) -> str | None:
         node = self.root.find(name, **attrs)
         return node.text(separator) if node else None
 
