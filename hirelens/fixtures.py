@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 REGIONS = ["Africa", "All Locations", "Asia & Middle East", "Europe", "London", "Midlands of England", "North, South & Central America", "Northern England", "Northern Ireland", "Republic of Ireland", "Scotland", "South East England", "South West England", "Wales"]
@@ -34,7 +36,6 @@ SELECT doc_id AS jobid,
 FROM labels"""
 
 _THOUSANDS = "CAST(CAST(floor(o_totalprice / 10) AS BIGINT) % 190 + 5 AS BIGINT)"
-_AMOUNT = f"'£' || lpad(CAST({_THOUSANDS} AS VARCHAR(9)), 2, '0') || ',' || lpad(CAST(o_custkey % 1000 AS VARCHAR(9)), 3, '0')"
 _AMOUNT = f"'£' || CASE WHEN {_THOUSANDS} < 10 THEN '0' ELSE '' END || CAST({_THOUSANDS} AS VARCHAR(9)) || ',' || lpad(CAST(o_custkey % 1000 AS VARCHAR(9)), 3, '0')"
 _SECOND = "'£' || CAST(CAST(o_orderkey % 80 + 10 AS BIGINT) AS VARCHAR(9)) || ',500'"
 
@@ -56,8 +57,6 @@ def adapted(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFra
 
 
 def _bound(sql: str, tables: tuple[str, ...]) -> str:
-    import re
-
     for t in tables:
         sql = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", sql)
     return sql

@@ -406,6 +406,35 @@ def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _members(spark, sf_dir).select("vec_id", scoring.bootstrap_interval("members", 64).alias("ci")).select("vec_id", "ci.*")
 
 
+def _labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("_row"), (F.col("label") % 2).cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+
+
+@query()
+def train_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-validation of logistic regression at one grid point."""
+    rows = _labelled_vectors(spark, sf_dir).cache()
+    return train.nested_cross_validation(rows, ["LogReg"], "f1", 2, False, 0, {"LogReg": [{"C": [1.0], "class_weight": ["balanced"]}]})[0]
+
+
+@query()
+def ensemble_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three members on seeded splits, scored by one matrix product a batch, with bootstrap intervals."""
+    import numpy as np
+
+    rows = _labelled_vectors(spark, sf_dir).cache()
+    members = []
+    for seed in range(3):
+        part = sampling.stratified_split(rows, "label", "_row", 0.2, seed).where("not is_test").drop("is_test")
+        members.append(train.get_model("LogReg", {"C": 1.0, "class_weight": "balanced"}, part.count()).fit(train.balanced(part)))
+    weights, bias = np.array([m.coefficients.toArray() for m in members]), np.array([m.intercept for m in members])
+    scored = table(spark, sf_dir, "embeddings").select("vec_id", scoring.logistic_members(F.col("embedding"), weights, bias).alias("members"))
+    return scored.select("vec_id", scoring.bootstrap_interval("members", len(members)).alias("ci")).select("vec_id", "ci.*")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

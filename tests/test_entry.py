@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 
 def test_every_oracle_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(entry.queries()) > 50
+    assert len(entry.queries()) > 40
 
 
 def test_flagship(spark):
