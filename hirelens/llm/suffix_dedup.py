@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, chunks, covered, documents, gram_starts, lists, materialise, members, mix, prefix_hash, row_sets, row_texts, span_hash, window_minima
+from .components import thinned
 
 LENGTH = 400
 GRAM = 16
@@ -148,20 +149,20 @@ def remove_repeats(docs: DataFrame, kept: bool = False) -> DataFrame:
     ones = found.join(same.select("sha"), "sha", "left_anti").select("doc_id", "th", F.lit(1).cast("long").alias("copies"), "phrases")
     firsts = found.join(same.select("sha", "copies", F.col("one.doc_id").alias("one_id")), "sha").where(F.col("doc_id").eqNullSafe(F.col("one_id"))).dropDuplicates(["sha"])
     texts = ones.unionByName(firsts.select("doc_id", "th", "copies", "phrases")).where("size(phrases) > 0")
-    phrases = texts.select("doc_id", "th", "copies", F.explode("phrases").alias("phrase"))
+    phrases = texts.select(F.xxhash64("doc_id", "th").alias("key"), "copies", F.explode("phrases").alias("phrase"))
     dictionary = materialise(phrases.groupBy("phrase").agg(F.sum("copies").alias("n")).where("n > 1").select("phrase"))
-    known = phrases.join(dictionary, "phrase").groupBy("doc_id", "th").agg(F.collect_set("phrase").alias("known"), F.max("copies").alias("copies"))
-    known = known.withColumnsRenamed({"doc_id": "known_id", "th": "known_th"})
-    placed = whole.join(known, F.col("doc_id").eqNullSafe(F.col("known_id")) & (F.col("th") == F.col("known_th")))
-    # A text that has copies under its own doc_id stands once for all of them.
-    placed = materialise(placed.where("copies = 1").unionByName(placed.where("copies > 1").dropDuplicates(["doc_id", "th"])).select(F.xxhash64("doc_id", "th").alias("key"), "doc_id", "th", "text", "known", "copies"))
+    known = thinned(phrases, "phrase", dictionary, "phrase").join(dictionary, "phrase").groupBy("key").agg(F.collect_set("phrase").alias("known"), F.max("copies").alias("copies"))
+    known = materialise(known)
+    # Rows that repeat under one doc_id bring their text more than once here; all its strings count as repeated anyway.
+    placed = thinned(whole.withColumn("key", F.xxhash64("doc_id", "th")), "key", known, "key").join(known, "key")
+    placed = materialise(placed.select("key", "doc_id", "th", "text", "known", "copies"))
     groups = materialise(placed.select("key", "text", "known", "copies").mapInArrow(_groups, "core long, context long, key long, copies long"))
     classes = materialise(groups.groupBy("core", "context").agg(F.sum("copies").alias("n"), F.min("key").alias("key")))
     mixed = materialise(classes.groupBy("core").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1").select("core"))
     reading = classes.join(mixed, "core").groupBy("key").agg(F.collect_set("context").alias("open"))
     strings = placed.select("key", "text").join(reading, "key").mapInArrow(_strings, "string long, key long")
     twice = materialise(strings.groupBy("string").count().where("count > 1").select("string"))
-    single = strings.join(twice, "string").groupBy("key").agg(F.collect_set("string").alias("strings"))
+    single = thinned(strings, "string", twice, "string").join(twice, "string").groupBy("key").agg(F.collect_set("string").alias("strings"))
     repeated = groups.join(classes.where("n > 1").select("core", "context"), ["core", "context"]).groupBy("key").agg(F.collect_set("context").alias("whole"))
     lone = placed.where("copies = 1").select("key", "doc_id", "text").join(repeated, "key", "left").join(single, "key", "left")
     cut = lone.select("doc_id", "text", "whole", "strings").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
