@@ -80,7 +80,9 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         _let(packed, lambda p: F.struct(F.length(p).cast("long").alias("c"), (F.length(p) - F.length(F.translate(p, SYMBOLS, ""))).cast("long").alias("s"))).alias("c"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
     )
-    out = counted.select("row", "original", F.col("w.n").alias("n_words"), F.col("c.c").alias("word_chars"), F.col("c.s").alias("n_symbols"), "n_dup_lines", F.col("w.r").alias("n_repeat_words"))
+    values = F.struct(F.col("w.n").alias("n_words"), F.col("c.c").alias("word_chars"), F.col("c.s").alias("n_symbols"), "n_dup_lines", F.col("w.r").alias("n_repeat_words"))
+    # Through a one-row generator, so that later filters are not pushed below and the counts computed again for each use.
+    out = counted.select("row", "original", F.explode_outer(F.array(values)).alias("v")).select("row", "original", "v.*")
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED))
 
 
