@@ -7,9 +7,11 @@ with their counts leaves only texts that hold repeated phrases; the rest of the
 Of a LENGTH-byte string, the cuts inside split it into a dictionary-suffix on the left, a run of whole phrases of the parse (its
 core), and a dictionary-prefix on the right. The strings that start side by side with one core are a group. Corpus order by
 (parse, left context, right context) is needed here only as far as equality of LENGTH bytes goes, so instead of one suffix array
-that a single machine would have to hold, equality classes at two depths stand for its ranks: groups with the same core and the
-same whole context are repeated as a whole (the long runs of highly repetitive text, one row each); only where one core
-has several contexts, each distinct context is read byte by byte, and its strings meet by their own hash.
+that a single machine would have to hold, equality classes at three depths stand for its ranks: groups with the same core and the
+same whole context are repeated as a whole (the long runs of highly repetitive text, one row each). Only where one core
+has several contexts, each distinct context is cut into blocks of BLOCK starts, at places counted from the core: blocks that share
+the middle (the bytes in all strings of a block) and the whole are repeated as a whole, a middle found once ends the search, and
+only where one middle has several wholes do strings meet by their own hash. An edit so costs a few blocks, not all strings around it.
 
 All meetings are aggregates with partial sums, or equi-joins that adaptive execution splits. A group of identical texts is one
 text with a count. Defined results: a null or empty text has 0 bytes; texts under LENGTH bytes stay; identical texts of LENGTH
@@ -33,6 +35,7 @@ from .components import thinned
 LENGTH = 400
 GRAM = 16
 SPAN = 192  # grams in a run; two disjoint runs fit into LENGTH bytes
+BLOCK = 8
 _STEP = 1 << 20
 
 
@@ -57,6 +60,7 @@ class Parse:
         self.rows = len(offsets) - 1
         self.cuts = self.phrase_row = self.first = self.end = self.group_row = none
         self.phrases = self.cores = self.contexts = none.astype(np.uint64)
+        self.prefix, self._left = np.zeros(1, np.uint64), none
         starts = gram_starts(offsets, LENGTH) if len(data) else none
         if not len(starts):
             return
@@ -85,11 +89,38 @@ class Parse:
         sums = np.r_[0, np.cumsum(bad)]
         return sums[np.searchsorted(self.cuts, self._left)] == sums[np.searchsorted(self.cuts, self._right)]
 
-    def strings(self, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of all LENGTH-byte strings of the groups (indices)."""
-        n = self.end[groups] - self.first[groups]
-        starts = np.repeat(self.first[groups] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(int(n.sum()))
-        return starts, span_hash(self.prefix, starts, starts + LENGTH, "byte")
+    def blocks(self, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Blocks of the groups (indices): rows, first starts, past-the-end starts, middles and wholes.
+
+        A string alone decides its block's number and middle: both are counted from the left end of its core, not from the group.
+        """
+        left = self._left[groups]
+        low, high = (left - self.end[groups] + 1) // BLOCK, (left - self.first[groups]) // BLOCK
+        group, ramp = _ramps(high - low + 1)
+        number = high[group] - ramp
+        top = left[group] - number * BLOCK
+        first, end = np.maximum(self.first[groups][group], top - BLOCK + 1), np.minimum(self.end[groups][group], top + 1)
+        middle = span_hash(self.prefix, top, top - BLOCK + 1 + LENGTH, "byte")
+        whole = span_hash(self.prefix, first, end - 1 + LENGTH, "byte")
+        middles = mix(middle ^ mix(self.cores[groups][group] + number.astype(np.uint64)))
+        return self.group_row[groups][group], first, end, middles, mix(whole ^ mix((left[group] - first).astype(np.uint64) + np.uint64(1)))
+
+    def strings(self, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Block, start and hash of all LENGTH-byte strings that start in the blocks first .. end - 1."""
+        block, ramp = _ramps(end - first)
+        starts = first[block] + ramp
+        return block, starts, span_hash(self.prefix, starts, starts + LENGTH, "byte")
+
+
+def _ramps(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts n: i and 0 .. n[i] - 1, for each i in turn."""
+    owner = np.repeat(np.arange(len(n)), n)
+    return owner, np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
+
+
+def _once(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Of the indices some, one for each value."""
+    return some[np.unique(values[some], return_index=True)[1]]
 
 
 def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,14 +139,20 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(p.cores[some].view(np.int64)), pa.array(p.contexts[some].view(np.int64)), part.column(0).take(rows), part.column(3).take(rows)], names=["core", "context", "key", "copies"])
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, data, offsets in chunks(batches, limit=_STEP):
+        p = Parse(data, offsets)
+        row, _, _, middle, whole = p.blocks(_once(p.contexts, np.flatnonzero(members(p.contexts, p.group_row, *row_sets(part, "open")))))
+        yield pa.RecordBatch.from_arrays([pa.array(middle.view(np.int64)), pa.array(whole.view(np.int64)), part.column(0).take(pa.array(row))], names=["middle", "whole", "key"])
+
+
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, data, offsets in chunks(batches, limit=_STEP):
         p = Parse(data, offsets)
-        some = np.flatnonzero(members(p.contexts, p.group_row, *row_sets(part, "open")))
-        some = some[np.unique(p.contexts[some], return_index=True)[1]]
-        values = p.strings(some)[1] if len(some) else p.contexts[:0]
-        keys = part.column(0).take(pa.array(np.repeat(p.group_row[some], p.end[some] - p.first[some])))
-        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), keys], names=["string", "key"])
+        row, first, end, _, whole = p.blocks(np.arange(len(p.first)))
+        some = _once(whole, np.flatnonzero(members(whole, row, *row_sets(part, "open"))))
+        block, _, values = p.strings(first[some], end[some])
+        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), part.column(0).take(pa.array(row[some][block]))], names=["string", "key"])
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,12 +160,14 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Parse(data, offsets)
         whole = members(p.contexts, p.group_row, *row_sets(part, "whole"))
         starts, ends = p.first[whole], p.end[whole] - 1 + LENGTH
-        values, rows = row_sets(part, "strings")
-        if len(values):
-            some = np.flatnonzero(np.isin(p.group_row, rows) & ~whole)
-            at, found = p.strings(some)
-            hit = at[members(found, np.repeat(p.group_row[some], p.end[some] - p.first[some]), values, rows)]
-            starts, ends = np.r_[starts, hit], np.r_[ends, hit + LENGTH]
+        blocks, strings = row_sets(part, "blocks"), row_sets(part, "strings")
+        if len(blocks[0]) or len(strings[0]):
+            row, first, end, _, wholes = p.blocks(np.flatnonzero(np.isin(p.group_row, np.r_[blocks[1], strings[1]]) & ~whole))
+            hit = members(wholes, row, *blocks)
+            starts, ends = np.r_[starts, first[hit]], np.r_[ends, end[hit] - 1 + LENGTH]
+            block, at, values = p.strings(first[~hit], end[~hit])
+            at = at[members(values, row[~hit][block], *strings)]
+            starts, ends = np.r_[starts, at], np.r_[ends, at + LENGTH]
         gone = covered(starts, ends, len(data))
         opens = gone.copy()
         opens[1:] &= ~gone[:-1]
@@ -146,13 +185,13 @@ def remove_repeats(docs: DataFrame, kept: bool = False) -> DataFrame:
     # Such tables are written out, so that a join's both sides are plain exchanges, of which adaptive execution splits a hot key's.
     same = materialise(found.where(f"n_bytes >= {LENGTH}").groupBy("sha").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th")).alias("one")).where("copies > 1"))
     states = found.join(same.select("sha", "copies"), "sha", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
-    ones = found.join(same.select("sha"), "sha", "left_anti").select("doc_id", "th", F.lit(1).cast("long").alias("copies"), "phrases")
-    firsts = found.join(same.select("sha", "copies", F.col("one.doc_id").alias("one_id")), "sha").where(F.col("doc_id").eqNullSafe(F.col("one_id"))).dropDuplicates(["sha"])
-    texts = ones.unionByName(firsts.select("doc_id", "th", "copies", "phrases")).where("size(phrases) > 0")
-    phrases = texts.select(F.xxhash64("doc_id", "th").alias("key"), "copies", F.explode("phrases").alias("phrase"))
+    firsts = same.select("sha", "copies", "one")
+    # One text of each group of copies; rows that repeat under one doc_id all stand for it.
+    texts = found.where("size(phrases) > 0").join(firsts, "sha", "left").where(F.col("one").isNull() | F.struct("doc_id", "th").eqNullSafe(F.col("one")))
+    texts = materialise(texts.select(F.xxhash64("doc_id", "th").alias("key"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"), "phrases"))
+    phrases = texts.select("key", "copies", F.explode("phrases").alias("phrase"))
     dictionary = materialise(phrases.groupBy("phrase").agg(F.sum("copies").alias("n")).where("n > 1").select("phrase"))
-    known = thinned(phrases, "phrase", dictionary, "phrase").join(dictionary, "phrase").groupBy("key").agg(F.collect_set("phrase").alias("known"), F.max("copies").alias("copies"))
-    known = materialise(known)
+    known = materialise(phrases.join(dictionary, "phrase").groupBy("key").agg(F.collect_set("phrase").alias("known"), F.max("copies").alias("copies")))
     # Rows that repeat under one doc_id bring their text more than once here; all its strings count as repeated anyway.
     placed = thinned(whole.withColumn("key", F.xxhash64("doc_id", "th")), "key", known, "key").join(known, "key")
     placed = materialise(placed.select("key", "doc_id", "th", "text", "known", "copies"))
@@ -160,12 +199,17 @@ def remove_repeats(docs: DataFrame, kept: bool = False) -> DataFrame:
     classes = materialise(groups.groupBy("core", "context").agg(F.sum("copies").alias("n"), F.min("key").alias("key")))
     mixed = materialise(classes.groupBy("core").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1").select("core"))
     reading = classes.join(mixed, "core").groupBy("key").agg(F.collect_set("context").alias("open"))
-    strings = placed.select("key", "text").join(reading, "key").mapInArrow(_strings, "string long, key long")
+    blocks = materialise(placed.select("key", "text").join(reading, "key").mapInArrow(_blocks, "middle long, whole long, key long"))
+    wholes = materialise(blocks.groupBy("middle", "whole").agg(F.count("*").alias("n"), F.min("key").alias("key")))
+    several = materialise(wholes.groupBy("middle").agg(F.count("*").alias("wholes"), F.min("n").alias("least")).where("wholes > 1 and least = 1").select("middle"))
+    reading = wholes.join(several, "middle").groupBy("key").agg(F.collect_set("whole").alias("open"))
+    strings = materialise(placed.select("key", "text").join(reading, "key").mapInArrow(_strings, "string long, key long"))
     twice = materialise(strings.groupBy("string").count().where("count > 1").select("string"))
-    single = thinned(strings, "string", twice, "string").join(twice, "string").groupBy("key").agg(F.collect_set("string").alias("strings"))
+    single = strings.join(twice, "string").groupBy("key").agg(F.collect_set("string").alias("strings"))
+    runs = blocks.join(wholes.where("n > 1").select("middle", "whole"), ["middle", "whole"]).groupBy("key").agg(F.collect_set("whole").alias("blocks"))
     repeated = groups.join(classes.where("n > 1").select("core", "context"), ["core", "context"]).groupBy("key").agg(F.collect_set("context").alias("whole"))
-    lone = placed.where("copies = 1").select("key", "doc_id", "text").join(repeated, "key", "left").join(single, "key", "left")
-    cut = lone.select("doc_id", "text", "whole", "strings").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    lone = placed.where("copies = 1").select("key", "doc_id", "text").join(repeated, "key", "left").join(runs, "key", "left").join(single, "key", "left")
+    cut = lone.select("doc_id", "text", "whole", "blocks", "strings").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     searched = placed.where("copies = 1").select("doc_id", "th", F.lit(True).alias("searched")).distinct().withColumnsRenamed({"doc_id": "i", "th": "t"})
     rest = states.join(searched, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")) & (F.col("copies") == 1), "left").where("searched is null")
     all_gone = F.col("copies") > 1

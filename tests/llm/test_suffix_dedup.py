@@ -38,3 +38,19 @@ def test_whole_table_and_empty(spark):
     rows = [(x.doc_id, x.text) for x in docs.collect()]
     assert sorted(map(tuple, S.remove_repeats(docs).collect())) == sorted(suffix(rows))
     assert S.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_edits_in_copies(spark):
+    r = random.Random(9)
+    base = "".join(r.choice("abcdefgh ") for _ in range(3000))
+    rows = []
+    for i in range(24):
+        text = list(base[r.choice([0, 0, 5, 333]) : r.choice([3000, 3000, 2991, 1500])])
+        for _ in range(r.randint(0, 6)):
+            text[r.randrange(len(text))] = r.choice(["X", "", "YZ"])
+        rows.append((i, "".join(text)))
+    rows += [(30, "ab" * 350 + "".join(r.choice("abc") for _ in range(600))), (31, "ab" * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, S.remove_repeats(docs).collect()))
+    assert got == sorted(suffix(rows))
+    assert any(0 < x[2] < x[1] for x in got)
