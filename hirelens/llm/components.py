@@ -24,25 +24,33 @@ def thinned(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, root (the least node it reaches) for every node of links (a, b).
+    """node, root (one node of its component, the same for all of it) for every node of links (a, b).
 
-    Each round every remaining group takes its least neighbour as parent, follows parents twice, and the links are contracted;
-    nothing is collected, and each round's labels are written out.
+    Each round every remaining group takes the first of its neighbours and itself as parent, follows parents twice, and the links are
+    contracted; nothing is collected, and each round's labels are written out. First is by value in even rounds, which ends stars in
+    two of them, and by a hash of the round in odd ones, so that no chain of ascending values lasts: the rounds grow with the logarithm.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = materialise(both.where("a <> b").distinct())
-    labels = edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node")
-    labels = materialise(_jump(_jump(labels)))
+    labels, turn = None, 0
     while True:
-        left = labels.select(F.col("node").alias("a"), F.col("root").alias("x"))
-        right = labels.select(F.col("node").alias("b"), F.col("root").alias("y"))
+        parents = materialise(_parents(edges, turn))
+        up = parents.select(F.col("node").alias("root"), F.col("root").alias("up"))
+        labels = parents if labels is None else materialise(labels.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
+        # The links' ends are names of this round's groups, so the round's parents rename them, as they rename the labels.
+        left = parents.select(F.col("node").alias("a"), F.col("root").alias("x"))
+        right = parents.select(F.col("node").alias("b"), F.col("root").alias("y"))
         edges = materialise(edges.join(left, "a").join(right, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
         if edges.isEmpty():
             return labels
-        parents = edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node")
-        parents = materialise(_jump(_jump(parents)))
-        moved = labels.join(parents.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
-        labels = materialise(moved.select("node", F.coalesce("up", "root").alias("root")))
+        turn += 1
+
+
+def _parents(edges: DataFrame, turn: int) -> DataFrame:
+    """node, root: each node's parent of this round, followed twice."""
+    order = lambda c: F.struct((F.xxhash64(c, F.lit(turn)) if turn % 2 else F.col(c)).alias("place"), F.col(c).alias("at"))
+    first = edges.groupBy("a").agg(F.min(order("b")).alias("first"))
+    return _jump(_jump(first.select(F.col("a").alias("node"), F.least(order("a"), "first")["at"].alias("root"))))
 
 
 def _jump(parents: DataFrame) -> DataFrame:
