@@ -101,6 +101,16 @@ class TextFeatures:
         return df.join(lists, "_row", "left").withColumn("features", vector("_pairs")).drop("_pairs")
 
 
+def sparse_parts(vector: str) -> Column:
+    """struct(size, indices, weights) of a sparse vector."""
+
+    @F.udf("size int, indices array<int>, weights array<double>")
+    def parts(v):
+        return v.size, v.indices.tolist(), v.values.tolist()
+
+    return parts(vector)
+
+
 class ResearchSoftware(TextFeatures):
     """Words and word pairs of description (24 000 at most) and title."""
 

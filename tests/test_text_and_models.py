@@ -1,10 +1,13 @@
 import json
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from hirelens import queries
 from hirelens.catalog import Snapshot, SnapshotCollection
 from hirelens.cli import health, main
 from hirelens.config import Config
@@ -75,6 +78,35 @@ def test_nested_cross_validation(spark):
     assert s.mean_roc_auc > 0.9 and s.mean_f1 == pytest.approx((s.f1_1 + s.f1_2) / 2)
 
 
+def test_text_features_keep_all_terms(spark, tmp_path):
+    """Words and word pairs of both blocks beyond 500, as a plain version weighs them."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda n: "q" + letters[n // 26 % 26] + letters[n % 26] + "z"
+    texts = [" ".join([word(40 * i + k) for k in range(40)] + [word(0)] * (i % 3)) for i in range(16)]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2, 0) for i in range(16)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+
+    def block(column):
+        counts = []
+        for text in column:
+            words = [w for w in re.findall(r"\w\w+", text)]
+            counts.append(Counter(words + [" ".join(p) for p in zip(words, words[1:])]))
+        df = Counter(t for c in counts for t in c)
+        raw = [{t: (1 + np.log(n)) * (np.log(17 / (1 + df[t])) + 1) for t, n in c.items()} for c in counts]
+        return sorted(df), [{t: w / np.sqrt(sum(x * x for x in r.values())) for t, w in r.items()} for r in raw]
+
+    terms, weights = block(texts)
+    title_terms, title_weights = block([t[:60] for t in texts])
+    assert len(terms) > 500
+    got = {r.jobid: r for r in queries.queries()["text_features"](spark, str(tmp_path)).collect()}
+    assert len(got) == 16
+    for i, r in got.items():
+        assert r["size"] == len(terms) + len(title_terms)
+        want = {("d", t): w for t, w in weights[i].items()} | {("t", t): w for t, w in title_weights[i].items()}
+        found = {("d", terms[at]) if at < len(terms) else ("t", title_terms[at - len(terms)]): w for at, w in zip(r["indices"], r["weights"])}
+        assert found == pytest.approx(want, abs=2e-6)
+
+
 class Small(features.TextFeatures):
     required = ["description", "job_title"]
     blocks = [("description", 50), ("job_title", None)]
