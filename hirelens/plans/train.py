@@ -30,7 +30,7 @@ GRIDS: dict[str, list[dict[str, Any]]] = {
     "CART": [{"max_depth": "=3:20"}],
     "GradientBoosting": [{"learning_rate": [0.01, 0.05, 0.1, 0.2], "max_depth": [3, 5, 8], "max_features": ["log2", "sqrt"], "subsample": [0.5, 0.8, 1.0]}],
 }
-#: The ensemble's member: the best model of the published runs.
+#: A member of an ensemble without a search before it: the best model of the published runs.
 MEMBER = {"C": 10000.0, "class_weight": "balanced"}
 
 
@@ -125,14 +125,15 @@ def nested_cross_validation(df: DataFrame, models: list[str], scoring: str = "pr
     return scores, best, params
 
 
-def train_ensemble(data: DataFrame, label: str, featureset: str, members: int = 100, parallelism: int = 4) -> list:
-    """(features, model) of each member, in numeric order: fit on four fifths by its own seed, features fit anew."""
+def train_ensemble(data: DataFrame, label: str, featureset: str, members: int = 100, parallelism: int = 4, model: str = "LogReg", params: dict | None = None) -> list:
+    """(features, model) of each member, in numeric order: fit on four fifths by its own seed, features fit anew. Without params, MEMBER."""
+    params = MEMBER if params is None else params
 
     def one(seed: int):
         part = stratified_split(data, label, "_row", 0.2, seed).where(~F.col("is_test")).drop("is_test")
         features = select_features(featureset)().fit(part)
         rows = labelled(features.transform(part), label)
-        return features, _fit(rows, "LogReg", MEMBER, False, seed)
+        return features, _fit(rows, model, params, False, seed)
 
     with ThreadPoolExecutor(parallelism) as pool:
         return list(pool.map(one, range(members)))
@@ -150,7 +151,7 @@ def train(data: DataFrame, folder: str, training_snapshot: str, label: str = "ag
     target.mkdir(parents=True)
     scores.write.parquet(str(target / "scores"))
     _fit(matrix, best, params, oversampling, 0).write().save(str(target / "model"))
-    for i, (_, model) in enumerate(train_ensemble(rows, label, featureset, members)):
+    for i, (_, model) in enumerate(train_ensemble(rows, label, featureset, members, model=best, params=params)):
         model.write().save(str(target / f"member_{i:03d}"))
     metadata = {"snapshot": name, "training": {"training_snapshot": str(training_snapshot), "models": models, "featureset": featureset, "prediction_field": label, "oversampling": oversampling, "scoring": scoring}, "best_model": best, "best_parameters": params, "version": __version__, "spark": data.sparkSession.version}
     (target / "metadata.json").write_text(json.dumps(metadata, sort_keys=True, indent=2, default=str))

@@ -132,6 +132,21 @@ def test_train_predict_report(spark, tmp_path, monkeypatch):
     assert set(report.CHARTS) <= set(by_year[0])
 
 
+@pytest.mark.parametrize(("model", "params"), [("CART", {"max_depth": 2}), ("LogReg", {"C": 10.0})])
+def test_members_are_the_model_that_the_search_chose(spark, tmp_path, monkeypatch, model, params):
+    monkeypatch.setitem(features.FEATURE_SETS, "small", Small)
+    rows = [(i, "software code testing python" if i % 2 else "history essay archive letters", f"Post {i % 3}", i % 2) for i in range(40)]
+    data = spark.createDataFrame(rows, "_row long, description string, job_title string, aggregate_tags int")
+    folder = train.train(data, str(tmp_path), "t1", featureset="small", models=[model], folds=2, members=1, grids={model: [{k: [v] for k, v in params.items()}]})
+    chosen, member = (json.loads(next((folder / name / "metadata").glob("part-*")).read_text()) for name in ("model", "member_000"))
+    assert member["class"] == chosen["class"]
+    if model == "CART":
+        assert member["paramMap"]["maxDepth"] == 2
+    else:
+        # Four fifths of 40 rows.
+        assert member["paramMap"]["regParam"] == pytest.approx(1 / (10 * 32))
+
+
 def test_predictions_file(spark, tmp_path):
     good = {"jobid": "1", "snapshot": "s", "job_title": "t", "probability": 0.5, "lower_ci": 0.4, "upper_ci": 0.6, "contract": "Casual", "posted": None, "placed_on": {"$date": "2020-03-01T00:00:00Z"}}
     (tmp_path / "p.jsonl").write_text(json.dumps(good) + "\n" + json.dumps(good | {"jobid": "2", "upper_ci": 1.5}) + "\n")
