@@ -83,25 +83,40 @@ def probability(scored: DataFrame) -> DataFrame:
     return scored.withColumn("probability", 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1])))
 
 
-def _fit(df: DataFrame, model: str, params: dict, oversampling: bool, seed: int):
+def _prepared(df: DataFrame, oversampling: bool, seed: int) -> tuple[DataFrame, int]:
+    """The rows to fit on, with their weights, and how many there are."""
     rows = oversampled(df, "label", "_row", seed) if oversampling else df
-    return get_model(model, params, rows.count(), seed).fit(balanced(rows))
+    return balanced(rows), rows.count()
 
 
-def search(df: DataFrame, model: str, scoring: str, folds: int, oversampling: bool, seed: int, grids: dict | None, fold_column: str) -> dict:
-    """The best of a grid by its mean score over inner folds; the earlier of equals."""
-    best: tuple[float, dict] = (-1.0, {})
-    inner = stratified_folds(df, "label", "_row", folds).withColumnRenamed("fold", fold_column).cache()
+def _fit(df: DataFrame, model: str, params: dict, oversampling: bool, seed: int):
+    rows, n = _prepared(df, oversampling, seed)
+    return get_model(model, params, n, seed).fit(rows)
+
+
+def search(df: DataFrame, model: str, scoring: str, folds: int, oversampling: bool, seed: int, grids: dict | None, fold_column: str, parallelism: int = 8) -> dict:
+    """The best of a grid by its mean score over inner folds; the earlier of equals. Points and folds are fitted at the same time."""
     choices = grid(model, grids)
-    for params in choices if len(choices) > 1 else []:
-        values = []
-        for k in range(folds):
-            fitted = _fit(inner.where(F.col(fold_column) != k), model, params, oversampling, seed)
-            values.append(binary_scores(probability(fitted.transform(inner.where(F.col(fold_column) == k)))).first()[scoring])
-        if np.mean(values) > best[0]:
-            best = (float(np.mean(values)), params)
+    if len(choices) == 1:
+        return choices[0]
+    inner = stratified_folds(df, "label", "_row", folds).withColumnRenamed("fold", fold_column).cache()
+    parts = []
+    for k in range(folds):
+        rows, n = _prepared(inner.where(F.col(fold_column) != k), oversampling, seed)
+        parts.append((rows.cache(), n, inner.where(F.col(fold_column) == k).cache()))
+
+    def score(point: tuple[dict, int]) -> float:
+        rows, n, held = parts[point[1]]
+        fitted = get_model(model, point[0], n, seed).fit(rows)
+        return binary_scores(probability(fitted.transform(held))).first()[scoring]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        values = np.array(list(pool.map(score, product(choices, range(folds)))), float).reshape(len(choices), folds)
+    for rows, _, held in parts:
+        rows.unpersist()
+        held.unpersist()
     inner.unpersist()
-    return best[1] if len(choices) > 1 else choices[0]
+    return choices[int(np.argmax([np.mean(v) for v in values]))]
 
 
 def nested_cross_validation(df: DataFrame, models: list[str], scoring: str = "precision", folds: int = 5, oversampling: bool = False, seed: int = 0, grids: dict | None = None) -> tuple[DataFrame, str, dict]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -423,21 +424,24 @@ def _labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def train_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cross-validation of logistic regression at one grid point."""
+    """Nested cross-validation of logistic regression over its whole grid."""
     rows = _labelled_vectors(spark, sf_dir).cache()
-    return train.nested_cross_validation(rows, ["LogReg"], "f1", 2, False, 0, {"LogReg": [{"C": [1.0], "class_weight": ["balanced"]}]})[0]
+    return train.nested_cross_validation(rows, ["LogReg"], "f1")[0]
 
 
 @query()
 def ensemble_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three members on seeded splits, scored by one matrix product a batch, with bootstrap intervals."""
+    """A hundred members on seeded splits, scored by one matrix product a batch, with bootstrap intervals."""
     import numpy as np
 
     rows = _labelled_vectors(spark, sf_dir).cache()
-    members = []
-    for seed in range(3):
+
+    def member(seed: int):
         part = sampling.stratified_split(rows, "label", "_row", 0.2, seed).where("not is_test").drop("is_test")
-        members.append(train.get_model("LogReg", {"C": 1.0, "class_weight": "balanced"}, part.count()).fit(train.balanced(part)))
+        return train.get_model("LogReg", {"C": 1.0, "class_weight": "balanced"}, part.count()).fit(train.balanced(part))
+
+    with ThreadPoolExecutor(8) as pool:
+        members = list(pool.map(member, range(100)))
     weights, bias = np.array([m.coefficients.toArray() for m in members]), np.array([m.intercept for m in members])
     scored = table(spark, sf_dir, "embeddings").select("vec_id", scoring.logistic_members(F.col("embedding"), weights, bias).alias("members"))
     return scored.select("vec_id", scoring.bootstrap_interval("members", len(members)).alias("ci")).select("vec_id", "ci.*")

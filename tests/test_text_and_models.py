@@ -107,6 +107,36 @@ def test_text_features_keep_all_terms(spark, tmp_path):
         assert found == pytest.approx(want, abs=2e-6)
 
 
+@pytest.fixture
+def embeddings(spark, tmp_path):
+    r = np.random.RandomState(1)
+    rows = [(i, (r.randn(4) + i % 2).tolist(), i % 2) for i in range(60)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    return str(tmp_path)
+
+
+@pytest.fixture
+def fitted(monkeypatch):
+    """The parameters of every model made."""
+    made, plain = [], train.get_model
+    monkeypatch.setattr(train, "get_model", lambda name, params, *a: made.append(params) or plain(name, params, *a))
+    return made
+
+
+def test_train_logreg_searches_its_grid_in_five_folds(spark, embeddings, fitted, monkeypatch):
+    monkeypatch.setitem(train.GRIDS, "LogReg", [{"C": [0.001, 1.0], "class_weight": ["balanced"]}])
+    row = queries.queries()["train_logreg"](spark, embeddings).first()
+    assert {f"f1_{k}" for k in range(1, 6)} <= set(row.asDict())
+    # Two points in five inner folds, for each of five outer folds and the final choice, and five fits of the outer folds.
+    assert len(fitted) == 6 * 10 + 5 and {p["C"] for p in fitted} == {0.001, 1.0}
+
+
+def test_ensemble_predict_fits_a_hundred_members(spark, embeddings, fitted):
+    rows = queries.queries()["ensemble_predict"](spark, embeddings).collect()
+    assert len(fitted) == 100 and len(rows) == 60
+    assert all(r.lower < r.probability < r.upper for r in rows)
+
+
 class Small(features.TextFeatures):
     required = ["description", "job_title"]
     blocks = [("description", 50), ("job_title", None)]
