@@ -39,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     for name in ("version", "setup", "features"):
         sub.add_parser(name)
-    for name, options in {"config": ["key?", "value?"], "snapshots": ["kind", "instance?"], "readjob": ["file"], "load": ["folder?"], "distribution": ["kind"], "report": ["predictions"], "information-gain": ["training", "text", "label"], "sample": ["predictions", "n"], "view-report": ["name?"]}.items():
+    for name, options in {"config": ["key?", "value?"], "snapshots": ["kind", "instance?"], "readjob": ["file"], "load": ["folder?"], "distribution": ["kind"], "report": ["predictions"], "information-gain": ["training", "text", "label"], "sample": ["predictions", "n"], "view-report": ["name?"], "train": ["training"], "predict": ["model?"]}.items():
         one = sub.add_parser(name)
         for o in options:
             one.add_argument(o.rstrip("?"), nargs="?" if o.endswith("?") else None)
@@ -78,7 +78,7 @@ def _spark_command(args: argparse.Namespace, config: Config) -> None:
     from .functions.html import parse_adverts
     from .functions.text import clean_text, ngrams
     from .operators import information, metrics, sampling
-    from .plans import load, report
+    from .plans import load, predict, report, train
     from .session import session
     from .sources import pages, tables
 
@@ -108,6 +108,17 @@ def _spark_command(args: argparse.Namespace, config: Config) -> None:
     elif args.command == "sample":
         chosen = sampling.partition_jobs(tables.read_predictions(spark, args.predictions), int(args.n))
         tables.write_sample(tables.with_description(chosen.drop("hours"), spark.read.parquet(jobs)), "random_sample.csv")
+    elif args.command == "train":
+        print(train.train(tables.read_training(spark, args.training), str(config["common.snapshots"] / "models"), args.training, folds=int(config["model.k-fold"])))
+    elif args.command == "predict":
+        models = SnapshotCollection(config["common.snapshots"], "models")
+        chosen = models[args.model] if args.model else models.latest()
+        if chosen is None:
+            raise SystemExit("no such model")
+        target = config["db.prediction"]
+        stored = spark.read.parquet(target) if Path(target).exists() else None
+        predict.predict(spark.read.parquet(jobs), stored, train.load_ensemble(spark, chosen.path), chosen.name).write.mode("append").parquet(target)
+        print(chosen.name)
     elif args.command == "view-report":
         view_report(config["common.snapshots"], args.name)
 

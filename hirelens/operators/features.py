@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -83,6 +83,17 @@ class TextFeatures:
             self.tables[column], self.sizes[column] = table, table.count()
         return self
 
+    def save(self, folder: str) -> None:
+        """One table per block."""
+        for column, table in self.tables.items():
+            table.write.parquet(f"{folder}/{column}")
+
+    def load(self, spark: SparkSession, folder: str) -> TextFeatures:
+        for column, _ in self.blocks:
+            table = spark.read.parquet(f"{folder}/{column}").cache()
+            self.tables[column], self.sizes[column] = table, table.count()
+        return self
+
     def transform(self, df: DataFrame) -> DataFrame:
         """df with features, one sparse vector."""
         total = sum(self.sizes.values())

@@ -13,7 +13,8 @@ import numpy as np
 from pyspark.ml import Estimator
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import __version__
@@ -155,7 +156,7 @@ def train_ensemble(data: DataFrame, label: str, featureset: str, members: int =
 
 
 def train(data: DataFrame, folder: str, training_snapshot: str, label: str = "aggregate_tags", featureset: str = "rse", models: list[str] | None = None, scoring: str = "precision", folds: int = 5, oversampling: bool = False, members: int = 100, grids: dict | None = None, now: datetime.datetime | None = None) -> Path:
-    """Writes a model snapshot: metadata.json, scores (Parquet), model and the members; returns its folder."""
+    """Writes a model snapshot: metadata.json, scores (Parquet), model, and the members with their features; returns its folder."""
     models = models or list(GRIDS)
     name = f"{featureset}_{(now or datetime.datetime.now()).strftime('%Y-%m-%dT%H-%M-%S')}_{__version__}"
     target = Path(folder) / name
@@ -166,8 +167,17 @@ def train(data: DataFrame, folder: str, training_snapshot: str, label: str = "ag
     target.mkdir(parents=True)
     scores.write.parquet(str(target / "scores"))
     _fit(matrix, best, params, oversampling, 0).write().save(str(target / "model"))
-    for i, (_, model) in enumerate(train_ensemble(rows, label, featureset, members, model=best, params=params)):
+    for i, (own, model) in enumerate(train_ensemble(rows, label, featureset, members, model=best, params=params)):
         model.write().save(str(target / f"member_{i:03d}"))
+        own.save(str(target / f"features_{i:03d}"))
     metadata = {"snapshot": name, "training": {"training_snapshot": str(training_snapshot), "models": models, "featureset": featureset, "prediction_field": label, "oversampling": oversampling, "scoring": scoring}, "best_model": best, "best_parameters": params, "version": __version__, "spark": data.sparkSession.version}
     (target / "metadata.json").write_text(json.dumps(metadata, sort_keys=True, indent=2, default=str))
     return target
+
+
+def load_ensemble(spark: SparkSession, folder: str | Path) -> list:
+    """(features, model) of each member of a model snapshot, in numeric order, as train_ensemble returns them."""
+    folder = Path(folder)
+    featureset = json.loads((folder / "metadata.json").read_text())["training"]["featureset"]
+    members = sorted(folder.glob("member_*"), key=lambda p: int(p.name.split("_")[1]))
+    return [(select_features(featureset)().load(spark, str(folder / f"features_{p.name.split('_')[1]}")), DefaultParamsReader.loadParamsInstance(str(p), spark)) for p in members]

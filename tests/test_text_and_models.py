@@ -177,6 +177,38 @@ def test_members_are_the_model_that_the_search_chose(spark, tmp_path, monkeypatc
         assert member["paramMap"]["regParam"] == pytest.approx(1 / (10 * 32))
 
 
+def test_a_saved_ensemble_predicts(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(features.FEATURE_SETS, "small", Small)
+    rows = [(str(i), "software code testing python" if i % 2 else "history essay archive letters", f"Post {i % 3}", i % 2, i) for i in range(40)]
+    data = spark.createDataFrame(rows, "jobid string, description string, job_title string, aggregate_tags int, _row long")
+    folder = train.train(data, str(tmp_path / "models"), "t1", featureset="small", models=["LogReg"], folds=2, members=2, grids={"LogReg": [{"C": [10.0]}]})
+    jobs = data.select("jobid", "description", "job_title")
+    jobs.write.parquet(str(tmp_path / "jobs"))
+    config = Config(tmp_path / "c.json")
+    for key, value in {"common.snapshots": tmp_path, "db.jobs": tmp_path / "jobs", "db.prediction": tmp_path / "prediction"}.items():
+        config.set(key, value)
+    config.save()
+    for _ in range(2):
+        main(["--config", str(tmp_path / "c.json"), "predict"])
+    got = {r.jobid: (r.snapshot, r.probability) for r in spark.read.parquet(str(tmp_path / "prediction")).collect()}
+    assert spark.read.parquet(str(tmp_path / "prediction")).count() == 40
+    kept = train.train_ensemble(data, "aggregate_tags", "small", 2, model="LogReg", params={"C": 10.0})
+    want = {r.jobid: (folder.name, pytest.approx(r.probability)) for r in predict.predict(jobs, None, kept, folder.name).collect()}
+    assert got == want
+
+
+def test_cli_train(tmp_path, monkeypatch):
+    called = []
+    monkeypatch.setattr(train, "train", lambda data, folder, name, **k: called.append((data.columns, folder, name, k)))
+    (tmp_path / "t.csv").write_text("a\n1\n")
+    config = Config(tmp_path / "c.json")
+    config.set("common.snapshots", tmp_path)
+    config.save()
+    main(["--config", str(tmp_path / "c.json"), "train", str(tmp_path / "t.csv")])
+    columns, *rest = called[0]
+    assert {"description", "job_title", "aggregate_tags"} <= set(columns) and rest == [str(tmp_path / "models"), str(tmp_path / "t.csv"), {"folds": 5}]
+
+
 def test_predictions_file(spark, tmp_path):
     good = {"jobid": "1", "snapshot": "s", "job_title": "t", "probability": 0.5, "lower_ci": 0.4, "upper_ci": 0.6, "contract": "Casual", "posted": None, "placed_on": {"$date": "2020-03-01T00:00:00Z"}}
     (tmp_path / "p.jsonl").write_text(json.dumps(good) + "\n" + json.dumps(good | {"jobid": "2", "upper_ci": 1.5}) + "\n")
