@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from hirelens.llm import line_dedup, mixing, queries, sharding, topk, url_filter
 
@@ -91,6 +92,27 @@ def test_top_k(spark):
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Exact beyond 2**20 in longs and beyond them in Python's integers; an error where a score does not fit a long."""
+    r = np.random.RandomState(5)
+    rows = [(i, r.randn(4).round(2).tolist()) for i in range(60)] + [(100 + i, (r.randn(4) * 2.0 ** (16 + i // 4)).round().tolist()) for i in range(20)]
+    # Products of 2**64 that cancel.
+    rows += [(150, [2.0**24, 2.0**24, 0.0, 0.0]), (151, [2.0**24, -(2.0**24) + 2, 0.0, 0.0]), (152, [-(2.0**24), 2.0**24, 0.0, 1.0])]
+    usable = {i: [math.floor(float(np.float32(x)) * 256) for x in v] for i, v in rows}
+    vectors = topk.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = [tuple(x) for x in topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5, 64, 3).collect()]
+    want = []
+    for q in (0, 50, 100, 150):
+        best = sorted((-sum(a * b for a, b in zip(usable[q], w, strict=True)), i) for i, w in usable.items() if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert sorted(got) == sorted(want)
+    assert topk.scaled(spark.createDataFrame([(1, [2.0**20, -(2.0**54)])], "vec_id long, embedding array<float>")).first().v == [2**28, -(2**62)]
+    for big in (2.0**30, 2.0**60):
+        huge = topk.scaled(spark.createDataFrame([(0, [big, 1.0]), (1, [big, 2.0])], "vec_id long, embedding array<float>"))
+        with pytest.raises(Exception, match="does not fit a long"):
+            topk.top_k(huge, huge, 5).collect()
+
+
 def test_sharding(spark):
     r = random.Random(2)
     rows = [(i, "x" * r.randint(0, 300)) for i in range(400)] + [(1000, "y" * 5000), (1001, None), (None, "z"), (5, "same"), (5, "same"), (5, "same")]
