@@ -51,6 +51,12 @@ def test_range_language():
     assert train.get_model("none", {}, 1) is None
 
 
+def test_forests_are_deep_and_the_boosted_grid_whole(spark):
+    assert train.get_model("RandomForest", {}, 1).getMaxDepth() == 30
+    assert len(train.grid("GradientBoosting")) == 7 * 2 * 3 * 2 * 7
+    assert train.get_model("GradientBoosting", {"min_samples_leaf": 21}, 1).getMinInstancesPerNode() == 21
+
+
 def test_bootstrap_equals_the_draws(spark):
     rows = [(i, np.random.RandomState(i).rand(20).tolist()) for i in range(5)] + [(9, None)]
     got = {r.i: r.ci for r in spark.createDataFrame(rows, "i int, m array<double>").select("i", scoring.bootstrap_interval("m", 20, 50).alias("ci")).collect()}
