@@ -59,3 +59,31 @@ def test_whole_table(spark, library):
     for r in docs.collect():
         assert got[r.doc_id].ids == library.encode(r.text)
         assert got[r.doc_id].decoded == library.decode(got[r.doc_id].ids)
+
+
+def test_long_words_and_steps_match_the_library(library, monkeypatch):
+    r = random.Random(8)
+    texts = ["".join(r.choice(a) for _ in range(n)) for a in ("ACGT", "abcdefghijklmnopqrstuvwxyzABCDEFG0123456789+/", "的一是不了人我在", "ab", "=-_*") for n in (49, 700, 4000)]
+    texts += [" ".join(texts[:6]) + "  " * 40 + texts[4], " " * 900 + "x" + " " * 900]
+    for t in texts:
+        assert C.encode(PATH, t) == library.encode(t), repr(t[:40])
+    for limit, words in ((1, 400_000), (64, 7), (1000, 50)):
+        monkeypatch.setattr(C, "STEP_BYTES", limit)
+        monkeypatch.setattr(C, "CACHE", words)
+        import pyarrow as pa
+
+        for t, row in zip([*ODD, *texts], C.coded(PATH, pa.array([*ODD, *texts]), ids=True), strict=True):
+            assert row[3].tolist() == library.encode(t), repr(t[:40])
+            assert row[4] == library.decode(library.encode(t))
+            assert row[:3] == (len(row[3]), hashlib.sha256(",".join(map(str, row[3].tolist())).encode()).hexdigest(), hashlib.sha256(row[4].encode()).hexdigest())
+
+
+def test_a_text_of_five_mebibytes(spark, library):
+    r = random.Random(9)
+    text = "".join(r.choice(["word ", "other ", "x" * 30 + " ", "é一 ", "\n"]) for _ in range(900_000))
+    assert len(text.encode()) > 5 << 20
+    row = C.encode_documents(spark.createDataFrame([(1, text)], "doc_id long, text string"), PATH).first()
+    ids = library.encode(text)
+    assert row.n_tokens == len(ids)
+    assert row.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert row.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
