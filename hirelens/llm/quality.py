@@ -1,15 +1,19 @@
 """Quality rules: robust multivariate outliers by minimum covariance determinant, per language and source.
 
 Each document has four counts over its whole text; transformed to a vector, it is rejected when its Mahalanobis distance to its
-group's robust centre is too large. The estimate starts from medians and quartiles and takes C-steps: the SHARE of rows nearest by
-the last estimate give the next mean and covariance, which never raises the determinant. Medians, quartiles and nearest shares
-come from counts in fixed bins (bounded rows a group), so every step is one aggregate with partial sums, however much of
-the table one source holds, and reruns agree. A group of under LEAST rows is judged with all other such groups together; if
-those are still too few, the base rules decide. FLOORS keep the covariance regular where most documents have none of a thing.
-DataFrame functions throughout.
+group's robust centre is too large. Every language and source, of any size, has its own estimate: it starts from medians and quartiles
+and takes C-steps: the SHARE of rows nearest by the last estimate give the next mean and covariance, until the estimate stays (or
+STEPS are taken). The covariance is made regular as in the minimum regularised covariance determinant: it is mixed with a diagonal
+target, the robust variances of the group's language, which weighs as much as RIDGE rows, and FLOORS are added to its diagonal; the
+centre is drawn to the language's median by the weight of PULL rows, and a language's own values to the whole table's likewise. The
+same formula holds for one row and for a million, where the targets have no weight to speak of. Medians, quartiles and nearest shares come from
+counts in fixed bins (bounded rows a group), so every step is one aggregate with partial sums, however much of the table one source
+holds; rows meet their group's parameters through a broadcast of at most BROADCAST_GROUPS rows or, beyond, through a join on the group and
+one of SALTS numbers, so no task holds a group. Reruns agree. DataFrame functions throughout.
 
 Defined results: a null or empty text has no words and fails the base rules; null languages and sources are groups of their own;
-rows repeat as in the input; an empty table gives no rows.
+a group's only row is judged by its language as far as the weights go; rows repeat as in the input and equal rows have equal verdicts;
+a very long text is one row like any other; other columns are kept in row, so their names cannot clash; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, release
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -32,10 +36,18 @@ SHARE = 0.75
 CONSISTENT = 1.49
 #: The 0.9999 quantile of chi2 with 4 degrees of freedom.
 CUTOFF = 23.51
-STEPS = 4
-LEAST = 40
+STEPS = 20
+#: The C-steps end when no mean, factor or logged variance moves by more.
+STAYS = 1e-4
+#: Rows' weight of the diagonal target in every covariance.
+RIDGE = 20
+#: Rows' weight of the language's median in every centre.
+PULL = 4
 #: Standard deviations added to each component's variance.
 FLOORS = (0.12, 0.2, 0.2, 0.2)
+#: Groups whose parameters (some 150 bytes each) are broadcast; more of them are joined by salted keys.
+BROADCAST_GROUPS = 50_000
+SALTS = 64
 
 
 def _let(value: Column, body) -> Column:
@@ -101,9 +113,8 @@ def _own_group(row: str = "row") -> Column:
     return F.concat_ws("\n", part("lang"), part("source"))
 
 
-def _quantiles(binned: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """Per key, the least bin that holds each share of the rows at or below it, from counts of bins."""
-    counts = binned.groupBy(*keys, value).agg(F.count("*").alias("n"))
+def _quantiles(counts: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Per key, the least bin that holds each share of the rows at or below it, from the counts n of bins."""
     upto = W.partitionBy(*keys).orderBy(value)
     sums = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(W.partitionBy(*keys)))
     return sums.groupBy(*keys).agg(*[F.min(F.when(F.col("upto") >= F.col("all") * share, F.col(value))).alias(name) for name, share in shares.items()])
@@ -122,53 +133,87 @@ def _distance(x: list[Column], params: str) -> Column:
     return total
 
 
+def _drawn(own: Column, n: Column, target: Column, weight: int) -> Column:
+    """The mean of a group's own value of n rows and a target that weighs as much as so many."""
+    return (own * n + target * weight) / (n + weight)
+
+
 def _factored(sums: DataFrame, key: str) -> DataFrame:
-    """key and p: mean, unit lower factor and diagonal of the covariance, from counts, sums and sums of products."""
-    out = sums
+    """key and p: centre, unit lower factor and diagonal of the covariance, from counts, sums, sums of products, and the targets c and t."""
+    out, n = sums, F.col("n")
+    mean = [F.col(f"s{i}") / n for i in range(DIMS)]
     for i in range(DIMS):
-        out = out.withColumn(f"m{i}", F.col(f"s{i}") / F.col("n"))
+        out = out.withColumn(f"m{i}", _drawn(mean[i], n, F.col(f"c{i}"), PULL))
     names = [f"m{i}" for i in range(DIMS)]
     for j in range(DIMS):
         for i in range(j, DIMS):
-            value = (F.col(f"s{j}{i}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")) * CONSISTENT
-            if i == j:
-                value = F.greatest(value, F.lit(0.0)) + FLOORS[i] ** 2
+            value = (F.col(f"s{j}{i}") / n - mean[i] * mean[j]) * CONSISTENT
+            value = _drawn(F.greatest(value, F.lit(0.0)), n, F.col(f"t{i}"), RIDGE) + FLOORS[i] ** 2 if i == j else _drawn(value, n, F.lit(0.0), RIDGE)
             for k in range(j):
                 value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}") * F.col(f"d{k}")
             name = f"d{j}" if i == j else f"l{i}{j}"
             out = out.withColumn(name, F.greatest(value, F.lit(FLOORS[j] ** 2 / 4)) if i == j else value / F.col(f"d{j}"))
             names.append(name)
-    return out.select(key, F.struct(*names).alias("p"))
+    # Rounded, so that the order of summation does not show.
+    return out.select(key, F.struct(*[F.round(c, 10).alias(c) for c in names]).alias("p"))
+
+
+def _meet(rows: DataFrame, params: DataFrame, groups: int, how: str = "inner") -> DataFrame:
+    """rows with their group's parameters; rows have salt, any number below SALTS."""
+    if groups <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(params), "g", how)
+    return rows.join(params.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["g", "salt"], how)
+
+
+def _salted() -> Column:
+    return F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")
 
 
 def fit(statistics: DataFrame) -> DataFrame:
-    """own (a group), p: the robust estimate of every language and source; groups without one are not in it."""
-    base = statistics.where("not base_failed").select(_own_group().alias("own"), *[x.alias(f"x{i}") for i, x in enumerate(_vector())])
-    base = materialise(base)
-    sizes = base.groupBy("own").count()
-    place = materialise(sizes.select("own", F.when(F.col("count") >= LEAST, F.col("own")).otherwise(F.lit("*")).alias("g"), "count"))
-    enough = place.groupBy("g").agg(F.sum("count").alias("count")).where(F.col("count") >= LEAST).select("g")
-    place = materialise(place.join(enough, "g").select("own", "g"))
-    rows = materialise(base.join(place, "own").drop("own"))
+    """g (a group), p: the robust estimate of every language and source with a row that passes the base rules."""
+    lang = F.col("row.lang").cast("string")
+    rows = materialise(statistics.where("not base_failed").select(lang.alias("l"), _own_group().alias("g"), _salted(), *[x.alias(f"x{i}") for i, x in enumerate(_vector())]))
     xs = [F.col(f"x{i}") for i in range(DIMS)]
-    bins = rows.select("g", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(xs[i] * 200).alias("b")) for i in range(DIMS)])).alias("e")).select("g", "e.i", "e.b")
-    middle = _quantiles(bins, ["g", "i"], "b", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
-    start = middle.groupBy("g").agg(*[F.max(F.when(F.col("i") == i, (F.col("q2") + 0.5) / 200)).alias(f"m{i}") for i in range(DIMS)], *[F.max(F.when(F.col("i") == i, ((F.col("q3") - F.col("q1")) / 200 / 1.349) ** 2 + FLOORS[i] ** 2)).alias(f"d{i}") for i in range(DIMS)])
+    bins = rows.select("l", "g", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(xs[i] * 200).alias("b")) for i in range(DIMS)])).alias("e")).select("l", "g", "e.i", "e.b")
+    counts = materialise(bins.groupBy("l", "g", "i", "b").agg(F.count("*").alias("n")))
+
+    def middles(keys: list[str], mark: str) -> DataFrame:
+        """By the keys: n rows, medians m and robust variances v, named with the mark."""
+        binned = counts.groupBy(*keys, "i", "b").agg(F.sum("n").alias("n"))
+        found = _quantiles(binned, [*keys, "i"], "b", {"q1": 0.25, "q2": 0.5, "q3": 0.75}).join(binned.groupBy(*keys, "i").agg(F.sum("n").alias("n")).withColumnsRenamed({k: f"{k}_" for k in keys}).withColumnRenamed("i", "i_"), F.expr(" AND ".join(["i = i_", *[f"{k} <=> {k}_" for k in keys]])))
+        of = lambda value, name: [F.max(F.when(F.col("i") == i, value)).alias(f"{mark}{name}{i}") for i in range(DIMS)]
+        return found.groupBy(*keys).agg(F.max("n").alias(f"{mark}n"), *of((F.col("q2") + 0.5) / 200, "m"), *of(((F.col("q3") - F.col("q1")) / 200 / 1.349) ** 2, "v"))
+
+    drawn = lambda a, b: [_drawn(F.col(f"{a}m{i}"), F.col(f"{a}n"), F.col(f"{b}{i}"), PULL).alias(f"c{i}") for i in range(DIMS)]
+    spread = lambda a, b: [_drawn(F.col(f"{a}v{i}"), F.col(f"{a}n"), F.col(f"{b}{i}"), RIDGE).alias(f"t{i}") for i in range(DIMS)]
+    languages = middles(["l"], "l").crossJoin(F.broadcast(middles([], "a"))).select("l", *drawn("l", "am"), *spread("l", "av"))
+    own = middles(["l", "g"], "g").join(languages.withColumnRenamed("l", "l_"), F.expr("l <=> l_"))
+    places = materialise(own.select("g", *[f"{x}{i}" for x in ("gm", "gv", "c", "t") for i in range(DIMS)], "gn"))
     zero = [F.lit(0.0).alias(f"l{i}{j}") for j in range(DIMS) for i in range(j + 1, DIMS)]
-    params = materialise(start.select("g", F.struct(*[f"m{i}" for i in range(DIMS)], *[f"d{i}" for i in range(DIMS)], *zero).alias("p")))
+    first = [c.alias(f"m{i}") for i, c in enumerate(drawn("g", "c"))] + [(c + FLOORS[i] ** 2).alias(f"d{i}") for i, c in enumerate(spread("g", "t"))]
+    params = materialise(places.select("g", F.struct(*first, *zero).alias("p")))
+    places = places.select("g", *[f"{x}{i}" for x in ("c", "t") for i in range(DIMS)])
+    groups = params.count()
     for _ in range(STEPS):
-        near = rows.join(params, "g").withColumn("b", F.floor(F.log(_distance(xs, "p") + 1e-9) * 100)).drop("p")
-        edge = _quantiles(near.select("g", "b"), ["g"], "b", {"edge": SHARE})
-        inside = near.join(edge, "g").where("b <= edge")
+        near = _meet(rows, params, groups).withColumn("b", F.floor(F.log(_distance(xs, "p") + 1e-9) * 100)).drop("p")
+        edge = materialise(_quantiles(near.groupBy("g", "b").agg(F.count("*").alias("n")), ["g"], "b", {"edge": SHARE}))
+        inside = _meet(near, edge, groups).where("b <= edge")
         sums = [F.count("*").alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)]]
         sums += [F.sum(xs[i] * xs[j]).alias(f"s{j}{i}") for j in range(DIMS) for i in range(j, DIMS)]
-        params = materialise(_factored(inside.groupBy("g").agg(*sums), "g"))
-    return materialise(place.join(params, "g").select("own", "p"))
+        spent, params = params, materialise(_factored(inside.groupBy("g").agg(*sums).join(places, "g"), "g"))
+        moves = [F.abs(F.col(f"p.{c}") - F.col(f"o.{c}")) for c in params.schema["p"].dataType.names if c[0] != "d"]
+        moves += [F.abs(F.log(F.col(f"p.d{i}") / F.col(f"o.d{i}"))) for i in range(DIMS)]
+        moved = params.join(spent.withColumnRenamed("p", "o"), "g").agg(F.max(F.greatest(*moves))).first()[0]
+        release(edge, spent)
+        if moved is None or moved <= STAYS:
+            break
+    release(rows, counts)
+    return params
 
 
 def judge(statistics: DataFrame, params: DataFrame) -> DataFrame:
     """statistics with kept: false where the base rules fail or the distance is above the cutoff."""
-    placed = statistics.withColumn("own", _own_group()).join(params, "own", "left").drop("own")
+    placed = _meet(statistics.withColumn("g", _own_group()).withColumn("salt", _salted()), params, params.count(), "left").drop("g", "salt")
     far = F.round(_distance(_vector(), "p"), 6) > CUTOFF
     return placed.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).drop("p")
 
