@@ -1,4 +1,4 @@
-"""Shared helpers: shared-folder materialisation, Arrow text buffers, vectorised word and n-gram hashes."""
+"""Shared helpers: shared-folder materialisation, Arrow text buffers, vectorised digests of words, word runs and byte spans."""
 
 from __future__ import annotations
 
@@ -45,16 +45,28 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing reads any more: neither the result nor a table yet to be written."""
+    for df in tables:
+        _written.remove((df.sparkSession, df._written_at))
+        _delete(df.sparkSession, df._written_at)
 
 
 @atexit.register
 def _remove_written() -> None:
     for spark, path in _written:
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # the session has ended before the interpreter  # noqa: BLE001
             return
 
@@ -108,27 +120,6 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
-#: Odd multipliers of the polynomial hashes and their inverses modulo 2**64.
-_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xC2B2AE3D27D4EB4F, "gram": 0xD6E8FEB86659FD93}
-_powers: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power_tables(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n, kept between calls up to a few chunk lengths."""
-    if kind not in _powers or len(_powers[kind][0]) < n:
-        base = _BASES[kind]
-        size = max(n, CHUNK_BYTES + 1 if kind == "byte" else CHUNK_BYTES // 4)
-        tables = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            steps = np.full(size, b, np.uint64)
-            steps[0] = 1
-            tables.append(np.multiply.accumulate(steps))
-        if size > 4 * CHUNK_BYTES:
-            return tables[0], tables[1]
-        _powers[kind] = (tables[0], tables[1])
-    return _powers[kind]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on uint64 (shift, multiply rounds)."""
     x = x ^ (x >> np.uint64(30))
@@ -139,23 +130,113 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix_hash(values: np.ndarray, kind: str) -> np.ndarray:
-    """Prefix sums of value[i] * base**i modulo 2**64, n + 1 of them."""
-    n = len(values)
-    power, _ = _power_tables(kind, n + 1)
-    out = np.zeros(n + 1, np.uint64)
-    np.cumsum(values.astype(np.uint64, copy=False) * power[:n], out=out[1:])
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit digests of words, 8 bytes a round through the finaliser: words of one length up to 8 bytes never share one.
+
+    Digests of two seeds are independent; together they are 128 bits.
+    """
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    left = ends - starts
+    out = mix(left.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64)))
+    which = np.flatnonzero(left > 0)
+    at, left = starts[which], left[which]
+    while len(which):
+        out[which] = mix(out[which] ^ (lanes[at] & _KEEP[np.minimum(left, 8)]))
+        more = left > 8
+        which, at, left = which[more], at[more] + 8, left[more] - 8
     return out
 
 
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, kind: str) -> np.ndarray:
-    """Hashes of the spans [start, end): equal spans are equal wherever they lie. The length enters the hash."""
-    _, inverse = _power_tables(kind, len(prefix))
-    return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+def _paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a * np.uint64(0xD6E8FEB86659FD93) + b)
+
 
+def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
+    """Digests of every k consecutive values (digests themselves), by doubling: log k rounds of the finaliser."""
+    n = len(values) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    level, width, done, out = values, 1, 0, None
+    while True:
+        if k & width:
+            some = level[done : done + n]
+            out = some if out is None else _paired(out, some)
+            done += width
+        if 2 * width > k:
+            return mix(out + np.uint64(k * 0xA24BAED4963EE407 % (1 << 64)))
+        level, width = _paired(level[:-width], level[width:]), 2 * width
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hash(prefix_hash(data.astype(np.uint64) + np.uint64(1), "byte"), starts, ends, "byte")
+
+#: Fingerprints of byte spans are polynomials modulo this prime, at two fixed places.
+PRIME = (1 << 61) - 1
+_PLACES = (0x0DA5_4C32_D192_ED03 % PRIME, 0x1357_A9B1_1E52_8C6F % PRIME)
+#: Exponents start anew at multiples of this, so the tables of powers are of one size whatever the text's.
+_TURN = 1 << 20
+_LOW31, _LOW30, _LOW61 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1), np.uint64(PRIME)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _LOW61) + (x >> np.uint64(61))
+    return np.where(x >= _LOW61, x - _LOW61, x)
+
+
+def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x * y modulo PRIME, of uint64 below it."""
+    x1, x0, y1, y0 = x >> np.uint64(31), x & _LOW31, y >> np.uint64(31), y & _LOW31
+    middle = x1 * y0 + x0 * y1
+    return _reduced(np.uint64(2) * x1 * y1 + (middle >> np.uint64(30)) + ((middle & _LOW30) << np.uint64(31)) + x0 * y0)
+
+
+def _powers_of(base: int) -> np.ndarray:
+    out = np.ones(_TURN, np.uint64)
+    width = 1
+    while width < _TURN:
+        out[width : 2 * width] = _times(out[:width], np.full(width, pow(base, width, PRIME), np.uint64))
+        width *= 2
+    return out
+
+
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+class Fingerprints:
+    """Karp-Rabin fingerprints of the spans of a chunk: equal spans have equal ones, and the two places are independent."""
+
+    def __init__(self, data: np.ndarray):
+        if not _powers:
+            _powers.extend((_powers_of(b), _powers_of(pow(b, -1, PRIME))) for b in _PLACES)
+        n = len(data)
+        values = data.astype(np.uint64) + np.uint64(1)
+        self.sums = []
+        for power, _ in _powers:
+            low, high = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+            for at in range(0, n, _TURN):
+                some, p = values[at : at + _TURN], power[: min(_TURN, n - at)]
+                low[at + 1 : at + 1 + len(some)] = some * (p & _LOW31)
+                high[at + 1 : at + 1 + len(some)] = some * (p >> np.uint64(31))
+            # Sums may pass 2**64; the differences of spans under 2**25 bytes do not.
+            self.sums.append((np.cumsum(low, out=low), np.cumsum(high, out=high)))
+
+    def _plain(self, start: np.ndarray, end: np.ndarray, place: int) -> np.ndarray:
+        low, high = self.sums[place]
+        high = _reduced(high[end] - high[start])
+        total = _reduced(_reduced(low[end] - low[start]) + (high >> np.uint64(30)) + ((high & _LOW30) << np.uint64(31)))
+        return _times(total, _powers[place][1][start % _TURN])
+
+    def of(self, start: np.ndarray, end: np.ndarray, place: int = 0) -> np.ndarray:
+        """Of the spans [start, end), none of them empty; the length enters the fingerprint."""
+        turn = (start // _TURN + 1) * _TURN
+        found = self._plain(start, np.minimum(end, turn), place)
+        over = np.flatnonzero(end > turn)
+        if len(over):
+            rest = self._plain(turn[over], end[over], place)
+            found[over] = _reduced(found[over] + _times(rest, _powers[place][0][(turn - start)[over]]))
+        return mix(found ^ mix((end - start).astype(np.uint64) + np.uint64(place)))
 
 
 def gram_starts(row_offsets: np.ndarray, k: int) -> np.ndarray:
@@ -214,6 +295,15 @@ def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.uint64).view(np.int64)))
 
 
+def unique_pairs(rows: np.ndarray, first: np.ndarray, second: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of each row, ascending, and the n + 1 offsets."""
+    order = np.lexsort((second, first, rows))
+    rows, first, second = rows[order], first[order], second[order]
+    keep = np.ones(len(rows), bool)
+    keep[1:] = (rows[1:] != rows[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    return first[keep], second[keep], np.searchsorted(rows[keep], np.arange(n + 1))
+
+
 def unique_per_row(rows: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values of each row, ascending, and the n + 1 offsets."""
     order = np.lexsort((values, rows))

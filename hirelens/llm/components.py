@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, release
 
 #: Words of the bitmap, 64 bits each: a fixed 2**25 bits, at most about 25 MB when broadcast.
 BITMAP_WORDS = 1 << 19
@@ -36,11 +36,12 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         parents = materialise(_parents(edges, turn))
         up = parents.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        labels = parents if labels is None else materialise(labels.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
+        before, labels = labels, parents if labels is None else materialise(labels.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
         # The links' ends are names of this round's groups, so the round's parents rename them, as they rename the labels.
         left = parents.select(F.col("node").alias("a"), F.col("root").alias("x"))
         right = parents.select(F.col("node").alias("b"), F.col("root").alias("y"))
-        edges = materialise(edges.join(left, "a").join(right, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        spent, edges = edges, materialise(edges.join(left, "a").join(right, "b").where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        release(spent, *([before, parents] if before is not None else []))
         if edges.isEmpty():
             return labels
         turn += 1

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks, documents, gram_starts, materialise, mix, prefix_hash, span_hash, unique_per_row, word_bounds, word_hashes
+from .common import bounded_batches, chunks, documents, gram_hashes, gram_starts, materialise, mix, unique_per_row, word_bounds, word_hashes
 from .components import components, thinned
 
 FEW = 16
@@ -46,13 +46,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
     rows = len(offsets) - 1
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
-    prefix = prefix_hash(word_hashes(data, starts, ends), "word")
+    digests = word_hashes(data, starts, ends)
     at = gram_starts(words, n)
     counts = np.diff(words)
-    short = np.flatnonzero((counts > 0) & (counts < n))
-    at = at[np.searchsorted(words, at, side="right") - 1 >= 0]
-    values = np.r_[span_hash(prefix, at, at + n, "word"), span_hash(prefix, words[short], words[short + 1], "word")]
-    return unique_per_row(np.r_[np.searchsorted(words, at, side="right") - 1, short], values, rows)
+    values, of = [gram_hashes(digests, n)[at]], [np.searchsorted(words, at, side="right") - 1]
+    for k in range(1, n):
+        short = np.flatnonzero(counts == k)
+        if len(short):
+            values.append(gram_hashes(digests, k)[words[short]])
+            of.append(short)
+    return unique_per_row(np.concatenate(of), np.concatenate(values), rows)
 
 
 def text_sets(texts: list[str], n: int) -> list[np.ndarray]:
@@ -174,6 +177,7 @@ def linked_in_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
         matrix = np.zeros((len(sets), step), np.float32)
         matrix[rows[a:b], columns[a:b] - low] = 1
         common += matrix[left] @ matrix[right].T
+    common = common.astype(np.int64)  # each a count below 2**24, so exact until here
     union = sizes[left][:, None] + sizes[right][None, :] - common
     forest, out = _Forest(), []
     for i, j in zip(*np.nonzero((100 * common >= percent * union) & (left[:, None] != right[None, :])), strict=True):

@@ -71,3 +71,8 @@ def statistics(text):
     lines = [x for x in (text or "").split("\n") if x.encode().split()]
     joined = "".join(w.decode() for w in words)
     return len(words), len(joined), sum(c in "#*$%&|<>" for c in joined), len(lines) - len(set(lines)), len(hit)
+
+
+def thue_morse(n):
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

@@ -5,7 +5,7 @@ import pytest
 
 from hirelens.llm import ngram_join as N
 
-from .brute import jaccard
+from .brute import jaccard, thue_morse
 from .conftest import SMALL
 
 
@@ -69,3 +69,20 @@ def test_whole_table_and_empty(spark):
     rows = [(x.doc_id, x.text) for x in docs.collect()]
     assert sorted(map(tuple, N.similar_components(docs, 4, 85).collect())) == sorted(jaccard(rows, 4, 85))
     assert N.similar_components(docs.limit(0)).count() == 0
+
+
+def test_words_that_polynomials_take_for_equal(spark):
+    for n in (1024, 2048):
+        a, b = thue_morse(n)
+        rows = [(1, " ".join([a] * 50)), (2, " ".join([b] * 50)), (3, " ".join([a, b] * 50)), (4, " ".join([b] * 60))]
+        got = sorted(map(tuple, N.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()))
+        assert got == sorted(jaccard(rows, 4, 85)) == [(1, 1, 1), (2, 1, 2), (3, 2, 3), (4, 1, 2)]
+
+
+def test_a_text_of_five_mebibytes(spark):
+    r = random.Random(12)
+    long = [f"w{r.randrange(90000)}" for _ in range(900_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[2000:])), (3, " ".join(long[:500_000])), (4, "w1 w2")]
+    assert len(rows[0][1]) > 5 << 20
+    got = {x.doc_id: x.component_id for x in N.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}

@@ -2,7 +2,7 @@ import random
 
 from hirelens.llm import substring_dedup as S
 
-from .brute import substring
+from .brute import substring, thue_morse
 from .conftest import SMALL
 
 
@@ -37,3 +37,22 @@ def test_whole_table_and_empty(spark):
     rows = [(x.doc_id, x.text) for x in docs.collect()]
     assert sorted(map(tuple, S.remove_repeats(docs).collect())) == sorted(substring(rows))
     assert S.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_words_that_polynomials_take_for_equal(spark):
+    for n in (1024, 2048):
+        a, b = thue_morse(n)
+        rows = [(1, " ".join([a] * 50)), (2, " ".join([b] * 50)), (3, " ".join([a] * 60))]
+        got = sorted(map(tuple, S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+        assert got == sorted(substring(rows))
+        assert [x[2] for x in got] == [0, 0, 60]
+
+
+def test_a_text_of_five_mebibytes(spark):
+    r = random.Random(12)
+    word = lambda: f"w{r.randrange(90000)}"
+    long = [word() for _ in range(900_000)]
+    rows = [(1, " ".join(long)), (2, " ".join([word(), *long[400_000:400_070], word(), *long[899_940:]])), (3, "  ".join(long))]
+    assert len(rows[0][1]) > 5 << 20
+    got = {x.doc_id: (x.n_words, x.n_removed) for x in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (900_000, 0), 2: (132, 130), 3: (900_000, 900_000)}

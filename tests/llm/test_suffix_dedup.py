@@ -2,7 +2,7 @@ import random
 
 from hirelens.llm import suffix_dedup as S
 
-from .brute import suffix
+from .brute import suffix, thue_morse
 from .conftest import SMALL
 
 
@@ -54,3 +54,19 @@ def test_edits_in_copies(spark):
     got = sorted(map(tuple, S.remove_repeats(docs).collect()))
     assert got == sorted(suffix(rows))
     assert any(0 < x[2] < x[1] for x in got)
+
+
+def test_bytes_that_polynomials_take_for_equal(spark):
+    a, b = thue_morse(2048)
+    rows = [(1, a), (2, b), (3, "x" * 9 + a[:1024] + "y" * 300), (4, b[:1024])]
+    got = sorted(map(tuple, S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == sorted(suffix(rows))
+
+
+def test_a_text_of_five_mebibytes(spark):
+    r = random.Random(12)
+    long = "".join(r.choice("abcdefghij klmnop") for _ in range((5 << 20) + 1000))
+    turn = (1 << 20) - 200  # across the place at which exponents start anew
+    rows = [(1, long), (2, "q" * 300 + long[turn : turn + 700] + "z" * 90), (3, long[(3 << 20) : (3 << 20) + 399])]
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans) for x in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (len(long), 700, 1), 2: (1090, 700, 1), 3: (399, 0, 0)}
