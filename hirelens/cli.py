@@ -82,6 +82,8 @@ def _spark_command(args: argparse.Namespace, config: Config) -> None:
     from .session import session
     from .sources import pages, tables
 
+    log = logger(Path(config["common.snapshots"]) / "logs")
+    log.info("%s", args.command)
     spark, jobs = session(), config["db.jobs"]
     if args.command == "readjob":
         row = parse_adverts(pages.read_pages(spark, args.file), args.as_of)
@@ -104,7 +106,7 @@ def _spark_command(args: argparse.Namespace, config: Config) -> None:
     elif args.command == "information-gain":
         rows = tables.read_training(spark, args.training).withColumn("terms", ngrams(clean_text(args.text)))
         ranked = information.information(information.term_counts(rows, "terms", args.label))
-        ranked.select("information", "ngram").write.mode("overwrite").csv(f"informationgain_{args.text}__{args.label}.csv", header=True)
+        ranked.select("information", "ngram").orderBy("information", "ngram").write.mode("overwrite").csv(f"informationgain_{args.text}__{args.label}.csv", header=True)
     elif args.command == "sample":
         chosen = sampling.partition_jobs(tables.read_predictions(spark, args.predictions), int(args.n))
         tables.write_sample(tables.with_description(chosen.drop("hours"), spark.read.parquet(jobs)), "random_sample.csv")
@@ -117,8 +119,11 @@ def _spark_command(args: argparse.Namespace, config: Config) -> None:
             raise SystemExit("no such model")
         target = config["db.prediction"]
         stored = spark.read.parquet(target) if Path(target).exists() else None
+        counts = predict.run_counts(spark.read.parquet(jobs), stored, chosen.name)
+        if counts["invalid"]:
+            log.warning("%d jobs without a title or description are not scored", counts["invalid"])
         predict.predict(spark.read.parquet(jobs), stored, train.load_ensemble(spark, chosen.path), chosen.name).write.mode("append").parquet(target)
-        print(chosen.name)
+        print(json.dumps({"snapshot": chosen.name} | counts))
     elif args.command == "view-report":
         view_report(config["common.snapshots"], args.name)
 

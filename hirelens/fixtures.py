@@ -6,7 +6,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-REGIONS = ["Africa", "All Locations", "Asia & Middle East", "Europe", "London", "Midlands of England", "North, South & Central America", "Northern England", "Northern Ireland", "Republic of Ireland", "Scotland", "South East England", "South West England", "Wales"]
+from .schemas import REGIONS
+
 _TITLES = ["Research Software Engineer", "PhD Studentship in Research Software", "Lecturer in History", "Research Associate", "Software Developer", "Senior RESEARCH and software Officer"]
 
 _P = "CAST((o_orderkey * 7919) % 1000 AS DOUBLE) / 1000"

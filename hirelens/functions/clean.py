@@ -206,10 +206,14 @@ def valid_prediction() -> Column:
     return reduce(lambda a, b: a & b, [F.coalesce(F.col(c).between(0, 1), F.lit(False)) for c in ("probability", "probability_lower", "probability_upper")])
 
 
+# What a training row's contract has to name.
+CONTRACTS = "(?i)(Fixed-Term|Permanent|Temporary)"
+
+
 def valid_training() -> Column:
     """Rating tags and layout among the known ones, contract among the known words."""
     tags = ["No", "Some", "Insufficient Evidence", "Most"]
-    return F.coalesce(F.col("tags_1").isin(tags) & F.col("tags_2").isin(tags) & F.col("enhanced").isin("normal", "enhanced") & F.col("contract").rlike("(?i)(permanent|fixed|temporary|casual|funding)"), F.lit(False))
+    return F.coalesce(F.col("tags_1").isin(tags) & F.col("tags_2").isin(tags) & F.col("enhanced").isin("normal", "enhanced") & F.col("contract").rlike(CONTRACTS), F.lit(False))
 
 
 def rating(c: Column | str) -> Column:

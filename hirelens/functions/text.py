@@ -33,12 +33,17 @@ def remove_email(c: Column | str) -> Column:
     return F.regexp_replace(col(c), EMAIL, "")
 
 
+# The marks that Treebank tokens part from words; a colon only where no digit follows, an opening quote as two backticks.
+MARKS = r"([;@#$%&?!*()\[\]{}<>\"«»“”‘„’]|`+|\.{2,}|:(?!\d))"
+OPENING = r"(?<=^|[ (\[{<])\""
+
+
 def word_tokens(c: Column | str) -> Column:
-    """Words after the split characters become spaces: Treebank-style, punctuation marks apart from the words they touch."""
+    """Words after the split characters become spaces: Treebank-style, the marks apart from the words they touch, any other sign
+    (as in c++) with them. A full stop stays with its word, from which clean_tokens takes all punctuation."""
     spaced = F.regexp_replace(col(c), SPLIT, " ")
-    spaced = F.regexp_replace(spaced, r"([^\w\s.]|\.{2,})", " $1 ")
-    spaced = F.regexp_replace(spaced, r"\.(\s|$)", " . ")
-    return F.filter(F.split(spaced, r"(?U:\s)+"), lambda t: t != "")
+    marked = F.regexp_replace(F.regexp_replace(spaced, OPENING, " `` "), MARKS, r" $1 ")
+    return F.filter(F.split(marked, r"(?U:\s)+"), lambda t: t != "")
 
 
 def _apostrophe(t: Column) -> Column:
@@ -55,8 +60,8 @@ def clean_tokens(tokens: Column) -> Column:
 
 def remove_stop_words(tokens: Column, stop_words: list[str] | None = None) -> Column:
     """Duplicates stay."""
-    stop = F.array(*[F.lit(w) for w in (STOP_WORDS if stop_words is None else stop_words)])
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, t))
+    stop = STOP_WORDS if stop_words is None else stop_words
+    return F.filter(tokens, lambda t: ~t.isin(*stop)) if stop else tokens
 
 
 def clean_sentences(c: Column | str, remove_stop: bool = True) -> Column:

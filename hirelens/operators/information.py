@@ -21,11 +21,11 @@ def term_counts(documents: DataFrame, terms: str, label: str) -> DataFrame:
 
 
 def information(counts: DataFrame) -> DataFrame:
-    """ngram, information: the smoothed entropy of the label given the term's presence, ascending."""
+    """ngram, information: the smoothed entropy of the label given the term's presence. Not in order: a sink that wants it sorts."""
     f, j, n, n1 = (F.col(c) for c in ("f", "j", "n", "n1"))
     present = (f + 1) / (n + 2) * (_entropy(j, f) + _entropy(f - j, f))
     absent = (n - f + 1) / (n + 2) * (_entropy(n1 - j, n - f) + _entropy(n - f - (n1 - j), n - f))
-    return counts.select("ngram", (present + absent).alias("information")).orderBy("information", "ngram")
+    return counts.select("ngram", (present + absent).alias("information"))
 
 
 def contingency(counts: DataFrame) -> DataFrame:

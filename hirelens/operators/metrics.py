@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixtures import REGIONS
 from ..functions.clean import location_slug, month_key, not_phd, title_matches
+from ..schemas import REGIONS
 
 POSITIVE = 0.5
 KEYWORDS = ["research", "software"]

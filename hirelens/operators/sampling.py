@@ -1,4 +1,8 @@
-"""Folds, splits, samples and oversampling, each decided by row keys and not by physical order."""
+"""Folds, splits, samples and oversampling, each decided by row keys and not by physical order.
+
+Folds, splits and oversampling take labelled rows, of which there are as many as people rated, a window a label; samples of predictions
+are ranked in parts.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,39 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Parts of an order that are ranked apart.
+BUCKETS = 1024
+
+
 def _seeded(seed: int | None, *keys: str) -> Column:
     return F.xxhash64(F.lit(seed), *keys) if seed is not None else F.lit(0)
 
 
+def placed(df: DataFrame, by: list[str], key: str, seed: int | None = None) -> DataFrame:
+    """df with _place, the row's rank from 1 in its group, and _n, the group's rows: in seeded order or, without a seed, by key.
+
+    The order is cut into buckets that ascend with it (the hash's high bits, equal widths of a number, a text's first bytes); a rank is
+    the count of the lower buckets, from one aggregate, plus the rank in the own bucket, so a group of half the rows is many tasks.
+    """
+    order = [key] if seed is None else [_seeded(seed, key), key]
+    kind = dict(df.dtypes)[key]
+    if seed is not None:
+        cut = df.withColumn("_b", F.shiftright(_seeded(seed, key), 64 - BUCKETS.bit_length() + 1))
+    elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+        ends = df.agg(F.min(key).cast("double").alias("_low"), F.max(key).cast("double").alias("_high"))
+        width = F.greatest((F.col("_high") - F.col("_low")) / BUCKETS, F.lit(1e-9))
+        cut = df.crossJoin(F.broadcast(ends)).withColumn("_b", F.floor((F.col(key).cast("double") - F.col("_low")) / width)).drop("_low", "_high")
+    else:
+        cut = df.withColumn("_b", F.hex(F.substring(F.encode(F.col(key).cast("string"), "utf-8"), 1, 3)))
+    counts = cut.groupBy(*by, "_b").agg(F.count("*").alias("_c"))
+    upto = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    below = counts.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_b").alias("_bb"), F.coalesce(F.sum("_c").over(upto), F.lit(0)).alias("_below"), F.sum("_c").over(W.partitionBy(*by)).alias("_n"))
+    same = F.expr(" AND ".join(["_b <=> _bb", *[f"`{c}` <=> _by{i}" for i, c in enumerate(by)]]))
+    own = F.row_number().over(W.partitionBy(*by, "_b").orderBy(*order))
+    ranked = cut.withColumn("_own", own).join(below, same)
+    return ranked.select(*df.columns, (F.col("_own") + F.col("_below")).alias("_place"), "_n")
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5) -> DataFrame:
     """fold 0 .. k - 1: contiguous blocks of each label's rows in key order, the first ones a row longer."""
     w = W.partitionBy(label)
@@ -41,10 +74,7 @@ def oversampled(df: DataFrame, label: str, key: str, seed: int = 0) -> DataFrame
 def partition_jobs(predictions: DataFrame, n: int | None = None, seed: int | None = 0) -> DataFrame:
     """Rows without PhD in the title, with job_type positive where the lower bound is above a half; at most n of each, by seeded key."""
     kept = predictions.where(~F.col("job_title").contains("PhD")).withColumn("job_type", F.when(F.col("probability_lower") > 0.5, "positive").otherwise("negative"))
-    if n is None:
-        return kept
-    place = F.row_number().over(W.partitionBy("job_type").orderBy(_seeded(seed, "jobid"), "jobid"))
-    return kept.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+    return kept if n is None else placed(kept, ["job_type"], "jobid", seed).where(F.col("_place") <= n).select(*kept.columns)
 
 
 def binary_scores(scored: DataFrame, by: list[str] | None = None, label: str = "label", prediction: str = "prediction", probability: str = "probability") -> DataFrame:

@@ -14,7 +14,9 @@ from .train import probability
 
 
 def member_probabilities(documents: DataFrame, ensemble: list) -> DataFrame:
-    """jobid, members: P(label 1) by each member in order. documents has _row."""
+    """jobid, members: P(label 1) by each member in order. documents has one row a jobid; members meet by it, and not by a number that
+    another run of the plan could give to another row."""
+    documents = documents.withColumn("_row", F.col("jobid"))
     out = documents.select("jobid", "_row")
     for i, (features, model) in enumerate(ensemble):
         scored = probability(model.transform(features.transform(documents))).select("_row", F.col("probability").alias(f"m{i}"))
@@ -22,12 +24,26 @@ def member_probabilities(documents: DataFrame, ensemble: list) -> DataFrame:
     return out.select("jobid", F.array(*[f"m{i}" for i in range(len(ensemble))]).alias("members"))
 
 
+def run_counts(jobs: DataFrame, stored: DataFrame | None, snapshot: str) -> dict[str, int]:
+    """How many jobs a run scores, how many lack a title or description, and how many have a prediction of this snapshot."""
+    marked = jobs.select("jobid", (F.col("job_title").isNotNull() & F.col("description").isNotNull()).alias("valid"))
+    if stored is None:
+        marked = marked.withColumn("done", F.lit(False))
+    else:
+        old = stored.where(F.col("snapshot") == snapshot).select("jobid").distinct().withColumn("old", F.lit(True))
+        marked = marked.join(old, "jobid", "left").withColumn("done", F.col("old").isNotNull())
+    row = marked.agg(F.count_if(F.col("valid") & ~F.col("done")).alias("scored"), F.count_if(~F.col("valid")).alias("invalid"), F.count_if(F.col("valid") & F.col("done")).alias("skipped")).first()
+    return row.asDict()
+
+
 def predict(jobs: DataFrame, stored: DataFrame | None, ensemble: list, snapshot: str, draws: int = 1000) -> DataFrame:
-    """Predictions of the valid jobs that have none of this snapshot, joined to their jobs."""
-    documents = valid_documents(jobs.select("jobid", "job_title", "description"), ["job_title", "description"])
+    """Predictions of the valid jobs that have none of this snapshot, joined to their jobs; of rows with one jobid the least by title and
+    description is scored."""
+    documents = valid_documents(jobs.select("jobid", "job_title", "description"), ["jobid", "job_title", "description"])
+    documents = documents.groupBy("jobid").agg(F.min(F.struct("job_title", "description")).alias("_d")).select("jobid", "_d.job_title", "_d.description")
     if stored is not None:
         documents = new_only(documents, stored, snapshot)
-    members = member_probabilities(documents.withColumn("_row", F.monotonically_increasing_id()), ensemble)
+    members = member_probabilities(documents, ensemble)
     ci = bootstrap_interval("members", len(ensemble), draws)
     scored = members.select("jobid", F.lit(snapshot).alias("snapshot"), ci.alias("ci")).select("jobid", "snapshot", "ci.probability", F.col("ci.lower").alias("probability_lower"), F.col("ci.upper").alias("probability_upper"))
     return enriched(scored, jobs)

@@ -160,11 +160,16 @@ def train(data: DataFrame, folder: str, training_snapshot: str, label: str = "ag
     models = models or list(GRIDS)
     name = f"{featureset}_{(now or datetime.datetime.now()).strftime('%Y-%m-%dT%H-%M-%S')}_{__version__}"
     target = Path(folder) / name
-    rows = labelled(data.dropna(subset=select_features(featureset).required), label).withColumn("_row", F.monotonically_increasing_id()) if "_row" not in data.columns else labelled(data, label)
+    target.mkdir(parents=True)
+    rows = labelled(data, label)
+    if "_row" not in data.columns:
+        # Numbered once and written, so that every member and fold sees the same number for a row.
+        rows = labelled(data.dropna(subset=select_features(featureset).required), label).withColumn("_row", F.monotonically_increasing_id())
+        rows.write.parquet(str(target / "training"))
+        rows = data.sparkSession.read.parquet(str(target / "training"))
     features = select_features(featureset)().fit(rows)
     matrix = features.transform(rows).select("_row", "label", "features").cache()
     scores, best, params = nested_cross_validation(matrix, models, scoring, folds, oversampling, 0, grids)
-    target.mkdir(parents=True)
     scores.write.parquet(str(target / "scores"))
     _fit(matrix, best, params, oversampling, 0).write().save(str(target / "model"))
     for i, (own, model) in enumerate(train_ensemble(rows, label, featureset, members, model=best, params=params)):

@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.clean import contract_type, job_date, mongo_date, valid_prediction
 from ..schemas import PREDICTION, TRAINING
 
 
 def read_training(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("enforceSchema", "false").schema(TRAINING).csv(path, header=True, multiLine=True, quote='"', escape='"')
+    """The known columns, typed, by the names in the header, whatever their order there; one that is not there is null, and a value
+    that does not fit its type is null."""
+    raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
+
+    def typed(field: StructField) -> Column:
+        if field.name not in raw.columns:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        text = F.col(f"`{field.name}`")
+        # A column of whole numbers with gaps is often written as 1.0.
+        value = text.try_cast("double").cast("int") if isinstance(field.dataType, IntegerType) else text.try_cast(field.dataType)
+        return value.alias(field.name)
+
+    return raw.select(*[typed(f) for f in StructType.fromDDL(TRAINING)])
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
