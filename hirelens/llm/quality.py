@@ -5,7 +5,7 @@ group's robust centre is too large. Every language and source, of any size, has
 and takes C-steps: the SHARE of rows nearest by the last estimate give the next mean and covariance, until the estimate stays (or
 STEPS are taken). The covariance is made regular as in the minimum regularised covariance determinant: it is mixed with a diagonal
 target, the robust variances of the group's language, which weighs as much as RIDGE rows, and FLOORS are added to its diagonal; the
-centre is drawn to the language's median by the weight of PULL rows, and a language's own values to the whole table's likewise. The
+centre is drawn to the language's median by the same weight, and a language's own values to the whole table's likewise. The
 same formula holds for one row and for a million, where the targets have no weight to speak of. Medians, quartiles and nearest shares come from
 counts in fixed bins (bounded rows a group), so every step is one aggregate with partial sums, however much of the table one source
 holds; rows meet their group's parameters through a broadcast of at most BROADCAST_GROUPS rows or, beyond, through a join on the group and
@@ -39,10 +39,8 @@ CUTOFF = 23.51
 STEPS = 20
 #: The C-steps end when no mean, factor or logged variance moves by more.
 STAYS = 1e-4
-#: Rows' weight of the diagonal target in every covariance.
+#: Weight, in rows, of the language's median in every centre and of its variances in every covariance.
 RIDGE = 20
-#: Rows' weight of the language's median in every centre.
-PULL = 4
 #: Standard deviations added to each component's variance.
 FLOORS = (0.12, 0.2, 0.2, 0.2)
 #: Groups whose parameters (some 150 bytes each) are broadcast; more of them are joined by salted keys.
@@ -113,11 +111,13 @@ def _own_group(row: str = "row") -> Column:
     return F.concat_ws("\n", part("lang"), part("source"))
 
 
-def _quantiles(counts: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """Per key, the least bin that holds each share of the rows at or below it, from the counts n of bins."""
+def _quantiles(counts: DataFrame, keys: list[str], value: str, shares: dict[str, float], down: bool = False) -> DataFrame:
+    """Per key, the least bin that holds each share of the rows (rounded down to whole rows, but one, if so said) at or below it, from
+    the counts n of bins."""
+    rows = lambda share: F.greatest(F.floor(F.col("all") * share), F.lit(1)) if down else F.col("all") * share
     upto = W.partitionBy(*keys).orderBy(value)
     sums = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(W.partitionBy(*keys)))
-    return sums.groupBy(*keys).agg(*[F.min(F.when(F.col("upto") >= F.col("all") * share, F.col(value))).alias(name) for name, share in shares.items()])
+    return sums.groupBy(*keys).agg(*[F.min(F.when(F.col("upto") >= rows(share), F.col(value))).alias(name) for name, share in shares.items()])
 
 
 def _distance(x: list[Column], params: str) -> Column:
@@ -133,9 +133,9 @@ def _distance(x: list[Column], params: str) -> Column:
     return total
 
 
-def _drawn(own: Column, n: Column, target: Column, weight: int) -> Column:
-    """The mean of a group's own value of n rows and a target that weighs as much as so many."""
-    return (own * n + target * weight) / (n + weight)
+def _drawn(own: Column, n: Column, target: Column) -> Column:
+    """The mean of a group's own value of n rows and a target that weighs as much as RIDGE."""
+    return (own * n + target * RIDGE) / (n + RIDGE)
 
 
 def _factored(sums: DataFrame, key: str) -> DataFrame:
@@ -143,12 +143,12 @@ def _factored(sums: DataFrame, key: str) -> DataFrame:
     out, n = sums, F.col("n")
     mean = [F.col(f"s{i}") / n for i in range(DIMS)]
     for i in range(DIMS):
-        out = out.withColumn(f"m{i}", _drawn(mean[i], n, F.col(f"c{i}"), PULL))
+        out = out.withColumn(f"m{i}", _drawn(mean[i], n, F.col(f"c{i}")))
     names = [f"m{i}" for i in range(DIMS)]
     for j in range(DIMS):
         for i in range(j, DIMS):
             value = (F.col(f"s{j}{i}") / n - mean[i] * mean[j]) * CONSISTENT
-            value = _drawn(F.greatest(value, F.lit(0.0)), n, F.col(f"t{i}"), RIDGE) + FLOORS[i] ** 2 if i == j else _drawn(value, n, F.lit(0.0), RIDGE)
+            value = _drawn(F.greatest(value, F.lit(0.0)), n, F.col(f"t{i}")) + FLOORS[i] ** 2 if i == j else _drawn(value, n, F.lit(0.0))
             for k in range(j):
                 value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}") * F.col(f"d{k}")
             name = f"d{j}" if i == j else f"l{i}{j}"
@@ -184,8 +184,8 @@ def fit(statistics: DataFrame) -> DataFrame:
         of = lambda value, name: [F.max(F.when(F.col("i") == i, value)).alias(f"{mark}{name}{i}") for i in range(DIMS)]
         return found.groupBy(*keys).agg(F.max("n").alias(f"{mark}n"), *of((F.col("q2") + 0.5) / 200, "m"), *of(((F.col("q3") - F.col("q1")) / 200 / 1.349) ** 2, "v"))
 
-    drawn = lambda a, b: [_drawn(F.col(f"{a}m{i}"), F.col(f"{a}n"), F.col(f"{b}{i}"), PULL).alias(f"c{i}") for i in range(DIMS)]
-    spread = lambda a, b: [_drawn(F.col(f"{a}v{i}"), F.col(f"{a}n"), F.col(f"{b}{i}"), RIDGE).alias(f"t{i}") for i in range(DIMS)]
+    drawn = lambda a, b: [_drawn(F.col(f"{a}m{i}"), F.col(f"{a}n"), F.col(f"{b}{i}")).alias(f"c{i}") for i in range(DIMS)]
+    spread = lambda a, b: [_drawn(F.col(f"{a}v{i}"), F.col(f"{a}n"), F.col(f"{b}{i}")).alias(f"t{i}") for i in range(DIMS)]
     languages = middles(["l"], "l").crossJoin(F.broadcast(middles([], "a"))).select("l", *drawn("l", "am"), *spread("l", "av"))
     own = middles(["l", "g"], "g").join(languages.withColumnRenamed("l", "l_"), F.expr("l <=> l_"))
     places = materialise(own.select("g", *[f"{x}{i}" for x in ("gm", "gv", "c", "t") for i in range(DIMS)], "gn"))
@@ -196,7 +196,7 @@ def fit(statistics: DataFrame) -> DataFrame:
     groups = params.count()
     for _ in range(STEPS):
         near = _meet(rows, params, groups).withColumn("b", F.floor(F.log(_distance(xs, "p") + 1e-9) * 100)).drop("p")
-        edge = materialise(_quantiles(near.groupBy("g", "b").agg(F.count("*").alias("n")), ["g"], "b", {"edge": SHARE}))
+        edge = materialise(_quantiles(near.groupBy("g", "b").agg(F.count("*").alias("n")), ["g"], "b", {"edge": SHARE}, down=True))
         inside = _meet(near, edge, groups).where("b <= edge")
         sums = [F.count("*").alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(xs)]]
         sums += [F.sum(xs[i] * xs[j]).alias(f"s{j}{i}") for j in range(DIMS) for i in range(j, DIMS)]

@@ -34,21 +34,21 @@ def middle(x):
     return (q2 + 0.5) / 200, ((q3 - q1) / 200 / 1.349) ** 2, len(x)
 
 
-def drawn(own, n, target, weight):
-    return (own * n + target * weight) / (n + weight)
+def drawn(own, n, target):
+    return (own * n + target * Q.RIDGE) / (n + Q.RIDGE)
 
 
 def reference_distances(x, language, everything):
     """The same estimate of one group in numpy."""
     floors, (m0, v0, _), (m1, v1, n1), (m, v, n) = np.array(Q.FLOORS), middle(everything), middle(language), middle(x)
-    centre, target = drawn(m1, n1, m0, Q.PULL), drawn(v1, n1, v0, Q.RIDGE)
-    mean, cov = drawn(m, n, centre, Q.PULL), np.diag(drawn(v, n, target, Q.RIDGE) + floors**2)
+    centre, target = drawn(m1, n1, m0), drawn(v1, n1, v0)
+    mean, cov = drawn(m, n, centre), np.diag(drawn(v, n, target) + floors**2)
     for _ in range(Q.STEPS):
         b = np.floor(np.log(np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean) + 1e-9) * 100)
-        near = x[b <= quantile(b, Q.SHARE)]
+        near = x[b <= np.sort(b)[max(1, int(Q.SHARE * len(x))) - 1]]
         own = near.mean(0)
-        last, mean = mean, drawn(own, len(near), centre, Q.PULL)
-        old, cov = cov, drawn((near - own).T @ (near - own) / len(near) * Q.CONSISTENT, len(near), np.diag(target), Q.RIDGE) + np.diag(floors**2)
+        last, mean = mean, drawn(own, len(near), centre)
+        old, cov = cov, drawn((near - own).T @ (near - own) / len(near) * Q.CONSISTENT, len(near), np.diag(target)) + np.diag(floors**2)
         if np.abs(mean - last).max() < 1e-9 and np.abs(cov - old).max() < 1e-9:
             break
     return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
@@ -110,6 +110,14 @@ def test_small_groups_and_repeated_rows(spark):
     agree(out)
 
 
+def test_one_bad_row_of_few(spark):
+    text = lambda k: " ".join(f"word{(k * 31 + i) % 997}" for i in range(60 + k))
+    bad = lambda k: " ".join(f"word{(k * 31 + i) % 997}$$$" for i in range(60 + k))
+    rows = [(i, text(i), "es", f"s{i % 12}") for i in range(40)] + [(100 + i, bad(i), "es", f"s{i}") for i in range(4)] + [(200, bad(9), "es", "new")]
+    out = Q.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert {x["row"].doc_id for x in out if not x.kept} == {100, 101, 102, 103, 200}
+
+
 def test_table_empty_and_deterministic(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     a = sorted((x["row"].doc_id, x.kept) for x in Q.verdicts(docs).collect())
