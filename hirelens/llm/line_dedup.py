@@ -6,7 +6,8 @@ pass drops lines and joins the rest in their order. A line shared by a third of
 task; the only list kept together is that of one document's own keys.
 
 Defined results: a null or empty text is one empty line, which has no key and stays; a null doc_id is one document; rows with
-one doc_id count as one document and each keeps its own row; other columns follow unchanged, whatever their names.
+one doc_id count as one document and each keeps its own row; other columns follow unchanged in row, so their names
+cannot clash; a very long text is one row of a batch of its own; an empty table gives no rows.
 """
 
 from __future__ import annotations

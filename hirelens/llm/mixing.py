@@ -9,7 +9,8 @@ source or a length that holds a third of all rows is not gathered in one task. W
 many as it has distinct lengths) and the list of sources.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; repeated rows are ranked apart;
-an empty table gives no rows; documents of size 0 follow their source's whole passes.
+an empty table gives no rows; other columns are kept in row, so their names cannot clash; a
+very long text is a step of its own when words are counted; documents of size 0 follow their source's whole passes.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ Expressions meet the rules by an equi-join on 8 hexadecimal digits of their SHA-
 one expansion, and every exchange is an equi-join or a partial aggregate.
 
 Defined results: a null URL or one without :// has an empty host and path and no rule; no rule means the default verdict;
-rows repeat as in the input; columns other than page_id and url are not carried.
+a null page_id stays; rows repeat as in the input; columns other than page_id and url are not carried, so their names cannot clash; a
+very long URL is one expression a shape; an empty table gives no rows, and no rules give the default verdict.
 """
 
 from __future__ import annotations
