@@ -12,7 +12,8 @@ below, as the larger partner.
 Equal sets are one node (named by a 64-bit digest), so a group of exact copies costs one row per signature and map task. Signatures meet through an aggregate
 (least and greatest node). Groups of up to FEW nodes give their pairs, a bounded number each. Larger groups are joined to clusters
 and verified in blocks of BLOCK nodes by matrix products; a block pair gives a spanning forest of its links, never all pairs. All
-candidates are verified exactly on their sets.
+candidates are verified exactly on their sets. Before pairs fetch their texts, parities of the tokens in SKETCH words of 64 places
+rule out those whose sets surely differ in too many tokens: an odd place in the sum of two sets has a token of only one of them.
 
 Defined results: words are ASCII lower-cased; fewer words than n make one shingle; without words the set is empty and the
 document is its own component; rows are documents of their own even under one doc_id; a null doc_id has a null component unless linked with another; other columns are
@@ -29,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, chunks, documents, gram_hashes, gram_starts, materialise, mix, unique_per_row, word_bounds, word_hashes
+from .common import bounded_batches, chunks, documents, gram_hashes, gram_starts, materialise, mix, release, unique_per_row, word_bounds, word_hashes
 from .components import components, thinned
 
 FEW = 16
 BLOCK = 512
 SMALL = 27
+#: Words of 64 bits in a set's sketch of parities.
+SKETCH = 8
 #: Signature that marks sets of which too many segments are empty.
 SPARSE = 0
 
@@ -72,6 +75,28 @@ def nodes(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.where(np.diff(at) > 0, mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(np.uint64)), np.uint64(0))
 
 
+def parities(values: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """For each of the SKETCH words, the bits at which an odd number of a set's tokens falls."""
+    place = mix(values ^ np.uint64(0x3C79AC492BA7B653)) >> np.uint64(32)
+    word, bit = place % np.uint64(SKETCH), np.uint64(1) << (place >> np.uint64(26))
+    out = []
+    for k in range(SKETCH):
+        sums = np.r_[np.zeros(1, np.uint64), np.bitwise_xor.accumulate(np.where(word == k, bit, np.uint64(0)))]
+        out.append(sums[at[1:]] ^ sums[at[:-1]])
+    return out
+
+
+def may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets may link. Sets of x and y tokens that differ in d have a union of (x + y + d) / 2 and share
+    (x + y - d) / 2, so they link when (100 + percent) * d <= (100 - percent) * (x + y); the odd places of both never exceed d."""
+    names = ["n_shingles", *(f"s{k}" for k in range(SKETCH))]
+    side = lambda c: sketches.select(F.col("node").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in names))
+    odd = "+".join(f"bit_count(a_s{k} ^ b_s{k})" for k in range(SKETCH))
+    least = f"greatest({odd}, abs(a_n_shingles - b_n_shingles))"
+    fits = f"{100 + percent} * {least} <= {100 - percent} * (a_n_shingles + b_n_shingles)"
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(fits).select("a", "b")
+
+
 class Bands:
     """Size bands for a threshold: edges grow by half, and a band has one segment more than its sets may differ in."""
 
@@ -191,12 +216,14 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, most_empt
     """doc_id, n_shingles, component_id: one row per row of docs."""
     bounded_batches(docs.sparkSession)
     whole = documents(docs)
+    columns = ["doc_id", "n_shingles", "node", *(f"s{k}" for k in range(SKETCH))]
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in chunks(batches):
             values, at = shingle_sets(data, offsets, n)
             node = nodes(values, at).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at), pa.int64()), pa.array(node, mask=np.diff(at) == 0)], names=["doc_id", "n_shingles", "node"])
+            sketch = [pa.array(x.view(np.int64)) for x in parities(values, at)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at), pa.int64()), pa.array(node, mask=np.diff(at) == 0), *sketch], names=columns)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in chunks(batches):
@@ -210,7 +237,7 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, most_empt
             signature, row = _prefix_rows(values, at, np.flatnonzero(np.diff(at)), Bands(percent, 1))
             yield pa.RecordBatch.from_arrays([pa.array(signature.view(np.int64)), pa.array(nodes(values, at)[row].view(np.int64))], names=["signature", "node"])
 
-    found = materialise(whole.mapInArrow(digests, "doc_id long, n_shingles long, node long"))
+    found = materialise(whole.mapInArrow(digests, ", ".join(f"{c} long" for c in columns)))
     rows = whole.select("doc_id", "text").mapInArrow(signed, "signature long, node long")
     shared = materialise(rows.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(f"low < high or signature = {SPARSE}").select("signature", "low"))
     members = materialise(thinned(rows, "signature", shared, "signature").join(shared, "signature").select("signature", "low", "node").distinct())
@@ -225,7 +252,11 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, most_empt
         own = materialise(tokens.join(marked, "node").distinct())
         meet = tokens.join(own.withColumnRenamed("node", "other"), "signature").where("node <> other")
         pairs = pairs.unionByName(meet.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))).distinct()
-    pairs = materialise(pairs)
+    met = materialise(pairs)
+    ends = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sketches = materialise(found.join(ends, "node").groupBy("node").agg(*(F.max(c).alias(c) for c in columns if c not in ("doc_id", "node"))))
+    pairs = materialise(may_link(met, sketches, percent))
+    release(met, sketches)
     many = members.join(sizes.where(f"count > {FEW}").select("signature"), "signature")
     clusters = components(many.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")))
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(clusters.select("node")).distinct()

@@ -86,3 +86,26 @@ def test_a_text_of_five_mebibytes(spark):
     assert len(rows[0][1]) > 5 << 20
     got = {x.doc_id: x.component_id for x in N.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_parities_keep_linked_pairs_and_drop_most_others(spark, percent):
+    r = np.random.default_rng(5)
+    sets, linked = [], set()
+    for pair in range(300):
+        n = int(r.integers(1, 900))
+        base = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+        kept = base[int(n * (100 - percent) / 100 * r.choice([0.9, 1.0, 4.0])) :]
+        sets += [base, kept if len(kept) else base]
+        common = len(sets[-1])
+        if 100 * common >= percent * len(base):
+            linked.add(pair)
+    at = np.r_[0, np.cumsum([len(s) for s in sets])]
+    words = N.parities(np.concatenate(sets), at)
+    names = ["node", "n_shingles", *(f"s{k}" for k in range(N.SKETCH))]
+    rows = [(i, len(s), *(int(w[i].view(np.int64)) for w in words)) for i, s in enumerate(sets)]
+    sketches = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in names))
+    pairs = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(300)], "a long, b long")
+    left = {x.a // 2 for x in N.may_link(pairs, sketches, percent).collect()}
+    assert linked <= left
+    assert len(left - linked) <= 30
