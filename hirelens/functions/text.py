@@ -30,7 +30,9 @@ def sentences(c: Column | str) -> Column:
 
 
 def remove_email(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), EMAIL, "")
+    """The pattern is tried only where one of its two separators is, as it starts anew at every letter."""
+    c = col(c)
+    return F.when(F.contains(c, F.lit("@")) | c.rlike(r"\sat\s"), F.regexp_replace(c, EMAIL, "")).otherwise(c)
 
 
 # The marks that Treebank tokens part from words; a colon only where no digit follows, an opening quote as two backticks.
@@ -38,12 +40,16 @@ MARKS = r"([;@#$%&?!*()\[\]{}<>\"«»“”‘„’]|`+|\.{2,}|:(?!\d))"
 OPENING = r"(?<=^|[ (\[{<])\""
 
 
+def marked(c: Column | str) -> Column:
+    """The split characters become spaces, and the marks stand apart."""
+    spaced = F.regexp_replace(col(c), SPLIT, " ")
+    return F.regexp_replace(F.regexp_replace(spaced, OPENING, " `` "), MARKS, r" $1 ")
+
+
 def word_tokens(c: Column | str) -> Column:
     """Words after the split characters become spaces: Treebank-style, the marks apart from the words they touch, any other sign
     (as in c++) with them. A full stop stays with its word, from which clean_tokens takes all punctuation."""
-    spaced = F.regexp_replace(col(c), SPLIT, " ")
-    marked = F.regexp_replace(F.regexp_replace(spaced, OPENING, " `` "), MARKS, r" $1 ")
-    return F.filter(F.split(marked, r"(?U:\s)+"), lambda t: t != "")
+    return F.filter(F.split(marked(c), r"(?U:\s)+"), lambda t: t != "")
 
 
 def _apostrophe(t: Column) -> Column:
@@ -64,11 +70,17 @@ def remove_stop_words(tokens: Column, stop_words: list[str] | None = None) -> Co
     return F.filter(tokens, lambda t: ~t.isin(*stop)) if stop else tokens
 
 
+#: What clean_tokens drops, as one pattern over bare lower-case words: nothing, numbers, currency, a single backtick, URLs.
+DROPPED = rf"^$|{NUMBER}|^\p{{Sc}}|\p{{Sc}}$|^`$|^www|^http"
+
+
 def clean_sentences(c: Column | str, remove_stop: bool = True) -> Column:
-    """array<array<string>>: the cleaned tokens of each sentence."""
+    """array<array<string>>: the cleaned tokens of each sentence, as clean_tokens gives for word_tokens. Punctuation goes and case is
+    lowered a sentence at a time (no apostrophe is left after the split), so that a token costs one pattern."""
 
     def cleaned(s: Column) -> Column:
-        tokens = clean_tokens(word_tokens(remove_email(s)))
+        bare = F.lower(F.regexp_replace(marked(remove_email(s)), r"\p{P}+", ""))
+        tokens = F.filter(F.split(bare, r"(?U:\s)+"), lambda t: ~t.rlike(DROPPED))
         return remove_stop_words(tokens) if remove_stop else tokens
 
     return F.transform(sentences(c), cleaned)

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, ngrams, remove_stop_words
+from .sampling import placed
 
 
 def count_terms(text: Column | str, terms: list[str]) -> Column:
@@ -41,10 +42,18 @@ def tokens(text: str) -> Column:
     return remove_stop_words(F.filter(F.split(F.lower(text), r"(?U:\W)+"), lambda t: F.length(t) >= 2))
 
 
+#: Bytes of terms (and 32 a term) up to which a vocabulary is broadcast; a larger one meets the documents' terms in a shuffled join.
+BROADCAST_BYTES = 32 << 20
+
+
 def vocabulary(documents: DataFrame, terms: str, max_features: int | None = None) -> DataFrame:
-    """term, df, idf (smoothed, plus one): all terms, or those of the highest corpus counts, the earlier term of equals."""
-    rows = documents.select(F.explode(terms).alias("term"), "_row")
-    counts = rows.groupBy("term", "_row").count().groupBy("term").agg(F.sum("count").alias("total"), F.count("*").alias("df"))
+    """term, df, idf (smoothed, plus one): all terms, or those of the highest corpus counts, the earlier term of equals. A document adds
+    its terms and its distinct terms, so counters are summed by term alone, before the shuffle too."""
+    found = F.array(F.struct(F.lit(0).alias("df"), F.array_distinct(terms).alias("t")), F.struct(F.lit(1).alias("df"), F.col(terms).alias("t")))
+    if max_features is None:
+        found = F.slice(found, 1, 1)
+    rows = documents.select(F.explode(found).alias("f")).select("f.df", F.explode("f.t").alias("term"))
+    counts = rows.groupBy("term").agg(F.sum("df").alias("total"), F.sum(1 - F.col("df")).alias("df"))
     if max_features is not None:
         counts = counts.orderBy(F.desc("total"), "term").limit(max_features)
     n = documents.agg(F.count("*").alias("n"))
@@ -59,6 +68,11 @@ def tfidf(documents: DataFrame, key: str, terms: str, vocabulary_table: DataFram
     return raw.select(key, "term", (F.col("w") / norm).alias("weight"))
 
 
+def _length(entries: str, block: int) -> Column:
+    """The Euclidean length of a block's weights."""
+    return F.sqrt(F.aggregate(F.filter(entries, lambda x: x["block"] == block), F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
+
+
 class TextFeatures:
     """Blocks of TF-IDF features side by side; fit keeps one vocabulary per block."""
 
@@ -69,18 +83,23 @@ class TextFeatures:
         self.clean = clean
         self.tables: dict[str, DataFrame] = {}
         self.sizes: dict[str, int] = {}
+        self.bytes: dict[str, int] = {}
 
-    def _terms(self, df: DataFrame, column: str) -> DataFrame:
+    def _terms(self, column: str) -> Column:
         text = F.array_join(clean_text(column), " ") if self.clean else F.col(column)
-        return df.select("_row", ngrams(tokens("_t")).alias("terms")) if "_t" in df.columns else df.withColumn("_t", text).select("_row", ngrams(tokens("_t")).alias("terms"))
+        return ngrams(tokens(text))
+
+    def _keep(self, column: str, table: DataFrame) -> None:
+        self.tables[column] = table = table.cache()
+        row = table.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term") + 32), F.lit(0))).first()
+        self.sizes[column], self.bytes[column] = row[0], row[1]
 
     def fit(self, df: DataFrame) -> TextFeatures:
-        """df has _row, a unique number."""
+        """df has _row, a unique number. Positions are by term."""
         for column, most in self.blocks:
-            table = vocabulary(self._terms(df, column), "terms", most)
-            # Positions are by term; the vocabulary is bounded by max_features or by the training texts.
-            table = table.withColumn("at", (F.row_number().over(W.orderBy("term")) - 1).cast("int")).cache()
-            self.tables[column], self.sizes[column] = table, table.count()
+            found = vocabulary(df.select(self._terms(column).alias("terms")), "terms", most).cache()
+            self._keep(column, placed(found, [], "term").withColumn("at", (F.col("_place") - 1).cast("int")).drop("_place", "_n"))
+            found.unpersist()
         return self
 
     def save(self, folder: str) -> None:
@@ -90,36 +109,38 @@ class TextFeatures:
 
     def load(self, spark: SparkSession, folder: str) -> TextFeatures:
         for column, _ in self.blocks:
-            table = spark.read.parquet(f"{folder}/{column}").cache()
-            self.tables[column], self.sizes[column] = table, table.count()
+            self._keep(column, spark.read.parquet(f"{folder}/{column}"))
         return self
 
+    def parts(self, df: DataFrame) -> DataFrame:
+        """_row, size, indices (ascending), weights of every row of df: what a sparse vector holds. Texts are dealt by _row once; with
+        vocabularies that may be broadcast nothing else is shuffled."""
+        known, base = None, 0
+        for block, (column, _) in enumerate(self.blocks):
+            table = self.tables[column].select(F.lit(block).alias("block"), "term", (F.col("at") + base).alias("at"), "idf")
+            known = table if known is None else known.unionByName(table)
+            base += self.sizes[column]
+        if sum(self.bytes.values()) <= BROADCAST_BYTES:
+            known = F.broadcast(known)
+        none = F.array().cast("array<string>")
+        found = F.array(*[F.struct(F.lit(block).alias("block"), F.coalesce(self._terms(c), none).alias("terms")) for block, (c, _) in enumerate(self.blocks)])
+        dealt = df.select("_row", *[c for c, _ in self.blocks]).repartition("_row")
+        rows = dealt.select("_row", F.explode(found).alias("b")).select("_row", "b.block", F.explode_outer("b.terms").alias("term"))
+        counts = rows.join(known, ["block", "term"], "left").groupBy("_row", "block", "at", "idf").count()
+        entry = F.struct("at", "block", ((1 + F.log("count")) * F.col("idf")).alias("w"))
+        lists = counts.groupBy("_row").agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), entry))).alias("e"))
+        normed = lists.select("_row", "e", F.array(*[_length("e", block) for block in range(len(self.blocks))]).alias("norms"))
+        weights = F.transform("e", lambda x: x["w"] / F.get("norms", x["block"]))
+        return normed.select("_row", F.lit(base).alias("size"), F.col("e.at").alias("indices"), weights.alias("weights"))
+
     def transform(self, df: DataFrame) -> DataFrame:
         """df with features, one sparse vector."""
-        total = sum(self.sizes.values())
-        entries, base = None, 0
-        for column, _ in self.blocks:
-            weights = tfidf(self._terms(df, column), "_row", "terms", self.tables[column]).join(self.tables[column].select("term", "at"), "term")
-            part = weights.select("_row", (F.col("at") + base).alias("at"), "weight")
-            entries = part if entries is None else entries.unionByName(part)
-            base += self.sizes[column]
 
         @F.udf(VectorUDT())
-        def vector(pairs):
-            return SparseVector(total, [(p["at"], p["weight"]) for p in pairs or []])
-
-        lists = entries.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("at", "weight"))).alias("_pairs"))
-        return df.join(lists, "_row", "left").withColumn("features", vector("_pairs")).drop("_pairs")
-
-
-def sparse_parts(vector: str) -> Column:
-    """struct(size, indices, weights) of a sparse vector."""
-
-    @F.udf("size int, indices array<int>, weights array<double>")
-    def parts(v):
-        return v.size, v.indices.tolist(), v.values.tolist()
+        def vector(size, indices, weights):
+            return SparseVector(size, indices, weights)
 
-    return parts(vector)
+        return df.join(self.parts(df), "_row").withColumn("features", vector("size", "indices", "weights")).drop("size", "indices", "weights")
 
 
 class ResearchSoftware(TextFeatures):

@@ -353,8 +353,8 @@ def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature set of the models at its own blocks: words and word pairs, 24 000 of description and all of job_title."""
     rows = training(spark, sf_dir).withColumn("_row", F.col("jobid"))
-    found = features.ResearchSoftware().fit(rows).transform(rows).select("jobid", features.sparse_parts("features").alias("f"))
-    return found.select("jobid", "f.size", "f.indices", F.transform("f.weights", lambda w: F.round(w, 6)).alias("weights"))
+    found = features.ResearchSoftware().fit(rows).parts(rows)
+    return found.select(F.col("_row").alias("jobid"), "size", "indices", F.transform("weights", lambda w: F.round(w, 6)).alias("weights"))
 
 
 # Folds, samples, scores
