@@ -311,3 +311,21 @@ def test_catalog_config_cli(tmp_path, capsys):
     main(["--config", str(config), "snapshots", "models"])
     assert "2020-02-01_b" in capsys.readouterr().out
     assert health(Config(config))["models"]
+
+
+def test_large_vocabularies_meet_the_terms_in_a_shuffled_join(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "red green red", "blue sky"), (2, "green leaf", None), (3, "", "red"), (4, "zz", "")], "_row long, description string, job_title string")
+    found = features.ResearchSoftware(clean=False).fit(df.where("_row < 4"))
+    assert sum(found.bytes.values()) > 0
+    rows = {r._row: (r.size, r.indices, r.weights) for r in found.parts(df).collect()}
+    monkeypatch.setattr(features, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {r._row: (r.size, r.indices, r.weights) for r in found.parts(df).collect()} == rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    size = sum(found.sizes.values())
+    assert rows[4] == (size, [], []) and all(len(i) == len(w) and i == sorted(i) and n == size for n, i, w in rows.values())
+    # description: green, green leaf, green red, leaf, red, red green; job_title: blue, blue sky, red, sky
+    assert size == 10 and rows[1][1] == [0, 2, 4, 5, 6, 7, 9] and rows[2][1] == [0, 1, 3] and rows[3] == (10, [8], [1.0])
+    assert sum(w * w for w in rows[1][2]) == pytest.approx(2)
