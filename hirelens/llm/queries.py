@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, ngram_join, piece_codec, quality, sharding, substring_dedup, suffix_dedup, topk, url_filter
+from . import conversation_repair, line_dedup, mixing, ngram_join, piece_codec, quality, sharding, substring_dedup, suffix_dedup, token_counts, topk, url_filter, whitening
 
 #: (verdict, host, path) of the registered URL query: fixed values.
 URL_RULES = [
@@ -25,10 +25,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def piece_model_path() -> str:
+def _tokenizer_path(name: str) -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("piece_bpe_32k.model"))
+    return str(public_tokenizers.path(name))
+
+
+def piece_model_path() -> str:
+    return _tokenizer_path("piece_bpe_32k.model")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +79,18 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_documents(_table(spark, sf_dir, "documents"), piece_model_path())
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer_path("byte_bpe_50k.json"), limit=512)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
@@ -87,6 +103,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_rules": op8_url_rules,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_piece_codec": op10_piece_codec,
+        "op11_token_counts": op11_token_counts,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_whitening": op13_whitening,
     }
 
 
