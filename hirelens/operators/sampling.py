@@ -44,14 +44,60 @@ def placed(df: DataFrame, by: list[str], key: str, seed: int | None = None) -> D
     return ranked.select(*df.columns, (F.col("_own") + F.col("_below")).alias("_place"), "_n")
 
 
+def fold_of(place: Column, n: Column, k: int) -> Column:
+    """The fold 0 .. k - 1 of a place from 0 among n: contiguous blocks, the first ones a row longer."""
+    size, longer = F.floor(n / k), n % k
+    in_longer = place < longer * (size + 1)
+    fold = F.when(in_longer, F.floor(place / (size + 1))).otherwise(longer + F.floor((place - longer * (size + 1)) / F.greatest(size, F.lit(1))))
+    return fold.cast("int")
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5) -> DataFrame:
     """fold 0 .. k - 1: contiguous blocks of each label's rows in key order, the first ones a row longer."""
-    w = W.partitionBy(label)
-    n, r = F.count("*").over(w), F.row_number().over(w.orderBy(key)) - 1
-    size, longer = F.floor(n / k), n % k
-    in_longer = r < longer * (size + 1)
-    fold = F.when(in_longer, F.floor(r / (size + 1))).otherwise(longer + F.floor((r - longer * (size + 1)) / F.greatest(size, F.lit(1))))
-    return df.withColumn("fold", fold.cast("int"))
+    return placed(df, [label], key).select(*df.columns, fold_of(F.col("_place") - 1, F.col("_n"), k).alias("fold"))
+
+
+def nested_folds(df: DataFrame, label: str, key: str, k: int = 5) -> DataFrame:
+    """df with fold, parts (array of double) and held (array of boolean), for nested cross-validation in one pass over the rows.
+
+    Part s * k + j is search s without its inner fold j, and what is held for it is that fold; search s has the rows outside fold s,
+    search k all. Part (k + 1) * k + s is all of search s, held is fold s. The inner folds are those that stratified_folds gives for the
+    search's rows alone: fold s is one run of each label's places, so a row's place without it is a difference.
+    """
+    place, n = F.col("_place") - 1, F.col("_n")
+    found = placed(df, [label], key).withColumn("fold", fold_of(place, n, k))
+    inner = []
+    for s in range(k):
+        length = F.floor(n / k) + (F.lit(s) < n % k).cast("long")
+        inner.append(F.when(F.col("fold") != s, fold_of(F.when(F.col("fold") < s, place).otherwise(place - length), n - length, k)))
+    inner.append(F.col("fold"))
+    none = lambda c: F.coalesce(c, F.lit(False))
+    parts = [none(i != j) for i in inner for j in range(k)] + [F.col("fold") != s for s in range(k)]
+    held = [none(i == j) for i in inner for j in range(k)] + [F.col("fold") == s for s in range(k)]
+    return found.select(*df.columns, "fold", F.array(*[c.cast("double") for c in parts]).alias("parts"), F.array(*held).alias("held"))
+
+
+def oversampled_parts(df: DataFrame, label: str, key: str, seed: int = 0) -> DataFrame:
+    """df with parts such that both labels weigh the same in each: rows of the smaller one repeat in seeded order, as oversampled does."""
+    long = df.select(key, label, F.posexplode("parts").alias("_part", "_times")).where("_times > 0")
+    ranks = placed(long.select(key, label, "_part"), ["_part", label], key, seed)
+    most = ranks.groupBy("_part", label).agg(F.max("_n").alias("_n")).groupBy("_part").agg(F.max("_n").alias("_most"))
+    times = F.floor(F.col("_most") / F.col("_n")) + (F.col("_place") <= F.col("_most") % F.col("_n")).cast("long")
+    again = ranks.join(most, "_part").groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_part", times.cast("double").alias("_times")))).alias("_times"))
+    kept = df.join(again, key, "left")
+    return kept.withColumn("parts", F.transform("parts", lambda _, i: F.coalesce(F.try_element_at("_times", i), F.lit(0.0)))).drop("_times")
+
+
+def split_parts(df: DataFrame, label: str, key: str, members: int, test_share: float = 0.2) -> DataFrame:
+    """df with parts: for each seed 0 .. members - 1 whether stratified_split of that seed trains on the row, all splits in one pass."""
+    long = df.select(key, label, F.explode(F.sequence(F.lit(0), F.lit(members - 1))).alias("_part"))
+    w = W.partitionBy("_part", label)
+    place = F.row_number().over(w.orderBy(F.xxhash64("_part", key), key))
+    long = long.withColumn("_out", place <= F.ceil(F.count("*").over(w) * F.lit(test_share)))
+    out = long.where("_out").groupBy(key).agg(F.collect_list("_part").alias("_held"))
+    every = F.sequence(F.lit(0), F.lit(members - 1))
+    trained = F.transform(every, lambda m: F.when(F.array_contains(F.col("_held"), m), 0.0).otherwise(1.0))
+    return df.join(out, key, "left").withColumn("parts", F.when(F.col("_held").isNull(), F.transform(every, lambda _: F.lit(1.0))).otherwise(trained)).drop("_held")
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int | None = 0) -> DataFrame:
@@ -77,16 +123,21 @@ def partition_jobs(predictions: DataFrame, n: int | None = None, seed: int | Non
     return kept if n is None else placed(kept, ["job_type"], "jobid", seed).where(F.col("_place") <= n).select(*kept.columns)
 
 
+def rates(counts: DataFrame, by: list[str]) -> DataFrame:
+    """precision, balanced_accuracy, f1, recall from tp, fp, fn, tn; a ratio without cases is 0."""
+    z = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    return counts.select(*by, z(tp, tp + fp).alias("precision"), ((z(tp, tp + fn) + z(tn, tn + fp)) / 2).alias("balanced_accuracy"), z(2 * tp, 2 * tp + fp + fn).alias("f1"), z(tp, tp + fn).alias("recall"))
+
+
 def binary_scores(scored: DataFrame, by: list[str] | None = None, label: str = "label", prediction: str = "prediction", probability: str = "probability") -> DataFrame:
     """precision, balanced_accuracy, f1, recall, roc_auc per group; a ratio without cases is 0. The area is the share of (positive,
     negative) pairs in order, ties half, from counts per distinct probability."""
     by = by or []
     y, p = F.col(label) == 1, F.col(prediction) == 1
     c = scored.groupBy(*by).agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"))
-    z = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
-    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
-    rates = c.select(*by, z(tp, tp + fp).alias("precision"), ((z(tp, tp + fn) + z(tn, tn + fp)) / 2).alias("balanced_accuracy"), z(2 * tp, 2 * tp + fp + fn).alias("f1"), z(tp, tp + fn).alias("recall"))
+    found = rates(c, by)
     levels = scored.groupBy(*by, probability).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
     below = F.coalesce(F.sum("neg").over(W.partitionBy(*by).orderBy(probability).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    area = levels.withColumn("won", F.col("pos") * (below + F.col("neg") / 2)).groupBy(*by).agg(z(F.sum("won"), F.sum("pos") * F.sum("neg")).alias("roc_auc"))
-    return rates.join(area, by) if by else rates.crossJoin(area)
+    won = levels.withColumn("won", F.col("pos") * (below + F.col("neg") / 2)).groupBy(*by).agg(F.coalesce(F.try_divide(F.sum("won"), F.sum("pos") * F.sum("neg")), F.lit(0.0)).alias("roc_auc"))
+    return found.join(won, by) if by else found.crossJoin(won)

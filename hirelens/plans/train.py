@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import __version__
+from ..operators import sampling
 from ..operators.features import labelled, select_features
+from ..operators.logistic import Fits, confusions, fit_many, part_sizes, probabilities
 from ..operators.metrics import best_score
 from ..operators.sampling import binary_scores, oversampled, stratified_folds, stratified_split
 from ..schemas import SCORES
@@ -71,10 +73,12 @@ def get_model(name: str, params: dict[str, Any], n: int, seed: int = 0) -> Estim
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """_weight: n / (2 n_class)."""
-    sizes = df.groupBy("label").agg(F.count("*").alias("_c"))
-    total = sizes.agg(F.sum("_c").alias("_n"))
-    return df.join(F.broadcast(sizes.crossJoin(total)), "label").withColumn("_weight", F.col("_n") / (2 * F.col("_c"))).drop("_n", "_c")
+    """_weight: n / (2 n_class). The labels' sizes are two numbers in the plan."""
+    sizes = {r["label"]: r["count"] for r in df.groupBy("label").count().collect()}
+    n, weight = sum(sizes.values()), F.lit(None).cast("double")
+    for label, count in sizes.items():
+        weight = F.when(F.col("label") == label, n / (2 * count)).otherwise(weight)
+    return df.withColumn("_weight", weight)
 
 
 def probability(scored: DataFrame) -> DataFrame:
@@ -92,7 +96,11 @@ def _prepared(df: DataFrame, oversampling: bool, seed: int) -> tuple[DataFrame,
 
 def _fit(df: DataFrame, model: str, params: dict, oversampling: bool, seed: int):
     rows, n = _prepared(df, oversampling, seed)
-    return get_model(model, params, n, seed).fit(rows)
+    rows = rows.cache()
+    try:
+        return get_model(model, params, n, seed).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def search(df: DataFrame, model: str, scoring: str, folds: int, oversampling: bool, seed: int, grids: dict | None, fold_column: str, parallelism: int = 8) -> dict:
@@ -120,23 +128,64 @@ def search(df: DataFrame, model: str, scoring: str, folds: int, oversampling: bo
     return choices[int(np.argmax([np.mean(v) for v in values]))]
 
 
+def _nested_logistic(df: DataFrame, scoring: str, folds: int, oversampling: bool, seed: int, grids: dict | None) -> tuple[list[dict[str, float]], dict]:
+    """(scores of each outer fold, parameters that the search over all rows chooses): every search's points and folds are columns of one
+    matrix of fits, and the refits of the outer folds of another."""
+    choices, whole = grid("LogReg", grids), folds * (folds + 1)
+    width = df.select(F.max(F.size(vector_to_array("features")))).first()[0] or 0
+    rows = sampling.nested_folds(df.select("_row", "label", "features"), "label", "_row", folds)
+    rows = (sampling.oversampled_parts(rows, "label", "_row", seed) if oversampling else rows).persist()
+    sizes = part_sizes(rows, whole + folds)
+    model = lambda point, part: get_model("LogReg", point, int(sizes[:, part].sum()), seed)
+    chosen = [choices[0]] * (folds + 1)
+    if len(choices) > 1:
+        columns = [(part, c) for part in range(whole) for c in choices]
+        fitted = fit_many(rows, [(part, model(c, part)) for part, c in columns], sizes, width)
+        found = _column_scores(rows, fitted, [part for part, _ in columns], scoring).reshape(folds + 1, folds, len(choices))
+        chosen = [choices[int(np.argmax(s.mean(axis=0)))] for s in found]
+    fitted = fit_many(rows, [(whole + k, model(chosen[k], whole + k)) for k in range(folds)], sizes, width)
+    scored = probabilities(rows, fitted, ["label", "fold"]).select("label", "fold", F.get("members", F.col("fold")).alias("probability"))
+    outer = {r["fold"]: r for r in sampling.binary_scores(scored.withColumn("prediction", (F.col("probability") > 0.5).cast("int")), ["fold"]).collect()}
+    rows.unpersist()
+    return [{s: float(outer[k][s]) if k in outer else 0.0 for s in SCORES} for k in range(folds)], chosen[-1]
+
+
+def _column_scores(rows: DataFrame, fitted: Fits, part: list[int], scoring: str) -> np.ndarray:
+    """The score of each fit over the rows held for its part."""
+    if scoring == "roc_auc":
+        members = probabilities(rows, fitted, ["label", "held"]).select("label", "held", F.posexplode("members").alias("fit", "probability"))
+        here = members.where(F.get("held", F.get(F.array(*[F.lit(p) for p in part]), F.col("fit"))))
+        found = sampling.binary_scores(here.withColumn("prediction", (F.col("probability") > 0.5).cast("int")), ["fit"])
+    else:
+        found = sampling.rates(confusions(rows, fitted, part), ["fit"])
+    out = np.zeros(len(part))
+    for r in found.select("fit", scoring).collect():
+        out[r["fit"]] = r[scoring]
+    return out
+
+
 def nested_cross_validation(df: DataFrame, models: list[str], scoring: str = "precision", folds: int = 5, oversampling: bool = False, seed: int = 0, grids: dict | None = None) -> tuple[DataFrame, str, dict]:
     """(scores, best model, its parameters); df has label, features, _row. scores: model, <score>_<fold>, mean_<score>."""
     outer = stratified_folds(df, "label", "_row", folds).cache()
-    rows = []
+    rows, found_params = [], {}
     for place, model in enumerate(models):
         row: dict[str, Any] = {"model": model, "place": place}
-        for k in range(folds):
-            train = outer.where(F.col("fold") != k).drop("fold")
-            params = search(train, model, scoring, folds, oversampling, seed, grids, "_inner")
-            scored = probability(_fit(train, model, params, oversampling, seed).transform(outer.where(F.col("fold") == k)))
-            found = binary_scores(scored).first()
-            row |= {f"{s}_{k + 1}": float(found[s]) for s in SCORES}
+        if model == "LogReg":
+            scores, found_params[model] = _nested_logistic(df, scoring, folds, oversampling, seed, grids)
+            for k, found in enumerate(scores):
+                row |= {f"{s}_{k + 1}": found[s] for s in SCORES}
+        else:
+            for k in range(folds):
+                train = outer.where(F.col("fold") != k).drop("fold")
+                params = search(train, model, scoring, folds, oversampling, seed, grids, "_inner")
+                scored = probability(_fit(train, model, params, oversampling, seed).transform(outer.where(F.col("fold") == k)))
+                found = binary_scores(scored).first()
+                row |= {f"{s}_{k + 1}": float(found[s]) for s in SCORES}
         row |= {f"mean_{s}": float(np.mean([row[f"{s}_{k + 1}"] for k in range(folds)])) for s in SCORES}
         rows.append(row)
     scores = df.sparkSession.createDataFrame(rows)
     best = best_score(scores, scoring).first()["model"]
-    params = search(df, best, scoring, folds, oversampling, seed, grids, "_inner")
+    params = found_params[best] if best in found_params else search(df, best, scoring, folds, oversampling, seed, grids, "_inner")
     outer.unpersist()
     return scores, best, params
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fixtures import JOBS, RATINGS, REGIONS, SALARIES, TRAINING, jobs, ratings, salaries, table, training
 from .functions import clean, html, text
-from .operators import features, information, metrics, sampling, scoring
+from .operators import features, information, logistic, metrics, sampling, scoring
 from .operators.metrics import _slug
 from .plans import load, predict, train
 from .sources import pages as page_source
@@ -425,26 +425,19 @@ def _labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def train_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested cross-validation of logistic regression over its whole grid."""
-    rows = _labelled_vectors(spark, sf_dir).cache()
-    return train.nested_cross_validation(rows, ["LogReg"], "f1")[0]
+    return train.nested_cross_validation(_labelled_vectors(spark, sf_dir), ["LogReg"], "f1")[0]
 
 
 @query()
 def ensemble_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A hundred members on seeded splits, scored by one matrix product a batch, with bootstrap intervals."""
-    import numpy as np
-
-    rows = _labelled_vectors(spark, sf_dir).cache()
-
-    def member(seed: int):
-        part = sampling.stratified_split(rows, "label", "_row", 0.2, seed).where("not is_test").drop("is_test")
-        return train.get_model("LogReg", {"C": 1.0, "class_weight": "balanced"}, part.count()).fit(train.balanced(part))
-
-    with ThreadPoolExecutor(8) as pool:
-        members = list(pool.map(member, range(100)))
-    weights, bias = np.array([m.coefficients.toArray() for m in members]), np.array([m.intercept for m in members])
-    scored = table(spark, sf_dir, "embeddings").select("vec_id", scoring.logistic_members(F.col("embedding"), weights, bias).alias("members"))
-    return scored.select("vec_id", scoring.bootstrap_interval("members", len(members)).alias("ci")).select("vec_id", "ci.*")
+    """A hundred members on seeded splits, fitted as columns of one matrix, scored by one product a batch, with bootstrap intervals."""
+    rows = sampling.split_parts(_labelled_vectors(spark, sf_dir), "label", "_row", 100).persist()
+    sizes = logistic.part_sizes(rows, 100)
+    model = lambda m: train.get_model("LogReg", {"C": 1.0, "class_weight": "balanced"}, int(sizes[:, m].sum()))
+    fitted = logistic.fit_many(rows, [(m, model(m)) for m in range(100)], sizes, rows.select(F.max(F.size(vector_to_array("features")))).first()[0] or 0)
+    rows.unpersist()
+    scored = logistic.probabilities(_labelled_vectors(spark, sf_dir).withColumnRenamed("_row", "vec_id"), fitted, ["vec_id"])
+    return scored.select("vec_id", scoring.bootstrap_interval("members", 100).alias("ci")).select("vec_id", "ci.*")
 
 
 def queries() -> dict[str, Query]:
