@@ -73,6 +73,15 @@ def _length(entries: str, block: int) -> Column:
     return F.sqrt(F.aggregate(F.filter(entries, lambda x: x["block"] == block), F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
 
 
+def weighted(term_rows: DataFrame, known: DataFrame, width: int) -> DataFrame:
+    """_row, features: as a sparse vector's struct, the damped counts 1 + ln count at the positions of known (block, term, at). A row
+    without known terms has none. One join, whatever the positions are used for."""
+    counts = term_rows.join(known.select("block", "term", "at"), ["block", "term"], "left").groupBy("_row", "at").count()
+    entry = F.when(F.col("at").isNotNull(), F.struct("at", (1 + F.log("count")).alias("w")))
+    lists = counts.groupBy("_row").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    return lists.select("_row", F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(width).alias("size"), F.col("e.at").alias("indices"), F.col("e.w").alias("values")).alias("features"))
+
+
 class TextFeatures:
     """Blocks of TF-IDF features side by side; fit keeps one vocabulary per block."""
 
@@ -112,6 +121,12 @@ class TextFeatures:
             self._keep(column, spark.read.parquet(f"{folder}/{column}"))
         return self
 
+    def term_rows(self, df: DataFrame, *more: str) -> DataFrame:
+        """_row, block, term (null once for a block without terms) and the columns more: a row a term of each block of df."""
+        none = F.array().cast("array<string>")
+        found = F.array(*[F.struct(F.lit(block).alias("block"), F.coalesce(self._terms(c), none).alias("terms")) for block, (c, _) in enumerate(self.blocks)])
+        return df.select("_row", F.explode(found).alias("b"), *more).select("_row", "b.block", F.explode_outer("b.terms").alias("term"), *more)
+
     def parts(self, df: DataFrame) -> DataFrame:
         """_row, size, indices (ascending), weights of every row of df: what a sparse vector holds. Texts are dealt by _row once; with
         vocabularies that may be broadcast nothing else is shuffled."""
@@ -122,10 +137,7 @@ class TextFeatures:
             base += self.sizes[column]
         if sum(self.bytes.values()) <= BROADCAST_BYTES:
             known = F.broadcast(known)
-        none = F.array().cast("array<string>")
-        found = F.array(*[F.struct(F.lit(block).alias("block"), F.coalesce(self._terms(c), none).alias("terms")) for block, (c, _) in enumerate(self.blocks)])
-        dealt = df.select("_row", *[c for c, _ in self.blocks]).repartition("_row")
-        rows = dealt.select("_row", F.explode(found).alias("b")).select("_row", "b.block", F.explode_outer("b.terms").alias("term"))
+        rows = self.term_rows(df.select("_row", *[c for c, _ in self.blocks]).repartition("_row"))
         counts = rows.join(known, ["block", "term"], "left").groupBy("_row", "block", "at", "idf").count()
         entry = F.struct("at", "block", ((1 + F.log("count")) * F.col("idf")).alias("w"))
         lists = counts.groupBy("_row").agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), entry))).alias("e"))

@@ -28,6 +28,8 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import release, written
+
 #: Weights of one block of columns.
 MOST_ENTRIES = 1 << 21
 #: Steps that a column remembers.
@@ -176,6 +178,8 @@ def _evaluate(rows: DataFrame, spread: int, weights: np.ndarray, intercepts: np.
         partials = partials.repartition(min(slices, spread), "slice").mapInArrow(summed, "slice int, part binary")
     found = sorted(partials.collect())
     sent.destroy()
+    if not found:
+        return np.zeros(fits), np.zeros((width + 1, fits))
     out = np.concatenate([np.frombuffer(r["part"]) for r in found]).reshape(width + 2, fits)
     return out[width + 1], out[: width + 1]
 
@@ -264,10 +268,11 @@ def _entries(rows: DataFrame) -> int:
 def fit_many(rows: DataFrame, fits: list[tuple[int, LogisticRegression]], sizes: np.ndarray, width: int, scale: np.ndarray | None = None, cuts: list[int] | None = None) -> Fits:
     """The fits (part, estimator) over rows (label, features, parts). sizes is part_sizes(rows). Of an estimator its penalty (regParam, L2),
     its tolerance, its limit of iterations, and whether it has weights, which are those that balance the labels of its part."""
-    rows = rows.where(F.col("label").isin(0.0, 1.0) & F.col("features").isNotNull() & F.col("parts").isNotNull()).select("label", "features", "parts").persist()
-    here = rows.rdd.getNumPartitions()
-    spread = max(1, min(here, _entries(rows) * len(fits) // TASK_WORK + 1))
-    cached, rows = rows, rows.coalesce(spread)
+    # Written first: every pass is a query of its own, whose plan would hold all that the rows come from.
+    table = written(rows.where(F.col("label").isin(0.0, 1.0) & F.col("features").isNotNull() & F.col("parts").isNotNull()).select("label", "features", "parts"))
+    cached = table.persist()
+    spread = max(1, min(cached.rdd.getNumPartitions(), _entries(cached) * len(fits) // TASK_WORK + 1))
+    rows = cached.coalesce(spread)
     sc = rows.sparkSession.sparkContext
     part = np.array([p for p, _ in fits])
     count = np.maximum(sizes[:, part], 0)
@@ -293,6 +298,7 @@ def fit_many(rows: DataFrame, fits: list[tuple[int, LogisticRegression]], sizes:
             fixed.destroy()
     finally:
         cached.unpersist()
+        release(table)
     return out
 
 

@@ -7,15 +7,18 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ensemble import LogisticEnsemble
 from ..operators.features import valid_documents
 from ..operators.scoring import bootstrap_interval, enriched, new_only
 from ..schemas import SCORES
 from .train import probability
 
 
-def member_probabilities(documents: DataFrame, ensemble: list) -> DataFrame:
-    """jobid, members: P(label 1) by each member in order. documents has one row a jobid; members meet by it, and not by a number that
-    another run of the plan could give to another row."""
+def member_probabilities(documents: DataFrame, ensemble: LogisticEnsemble | list) -> DataFrame:
+    """jobid, members: P(label 1) by each member in order. documents has one row a jobid. Logistic members are one model, with one join;
+    others are a join each, by jobid, and not by a number that another run of the plan could give to another row."""
+    if isinstance(ensemble, LogisticEnsemble):
+        return ensemble.members(documents, "jobid")
     documents = documents.withColumn("_row", F.col("jobid"))
     out = documents.select("jobid", "_row")
     for i, (features, model) in enumerate(ensemble):
@@ -36,7 +39,7 @@ def run_counts(jobs: DataFrame, stored: DataFrame | None, snapshot: str) -> dict
     return row.asDict()
 
 
-def predict(jobs: DataFrame, stored: DataFrame | None, ensemble: list, snapshot: str, draws: int = 1000) -> DataFrame:
+def predict(jobs: DataFrame, stored: DataFrame | None, ensemble: LogisticEnsemble | list, snapshot: str, draws: int = 1000) -> DataFrame:
     """Predictions of the valid jobs that have none of this snapshot, joined to their jobs; of rows with one jobid the least by title and
     description is scored."""
     documents = valid_documents(jobs.select("jobid", "job_title", "description"), ["jobid", "job_title", "description"])

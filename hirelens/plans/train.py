@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from .. import __version__
 from ..operators import sampling
+from ..operators.ensemble import LogisticEnsemble
 from ..operators.features import labelled, select_features
 from ..operators.logistic import Fits, confusions, fit_many, part_sizes, probabilities
 from ..operators.metrics import best_score
 from ..operators.sampling import binary_scores, oversampled, stratified_folds, stratified_split
 from ..schemas import SCORES
+from ..shared import release, written
 
 # The hyper-parameters that the grids search, in the range language of expand().
 GRIDS: dict[str, list[dict[str, Any]]] = {
@@ -134,7 +136,7 @@ def _nested_logistic(df: DataFrame, scoring: str, folds: int, oversampling: bool
     choices, whole = grid("LogReg", grids), folds * (folds + 1)
     width = df.select(F.max(F.size(vector_to_array("features")))).first()[0] or 0
     rows = sampling.nested_folds(df.select("_row", "label", "features"), "label", "_row", folds)
-    rows = (sampling.oversampled_parts(rows, "label", "_row", seed) if oversampling else rows).persist()
+    rows = written(sampling.oversampled_parts(rows, "label", "_row", seed) if oversampling else rows)
     sizes = part_sizes(rows, whole + folds)
     model = lambda point, part: get_model("LogReg", point, int(sizes[:, part].sum()), seed)
     chosen = [choices[0]] * (folds + 1)
@@ -146,7 +148,7 @@ def _nested_logistic(df: DataFrame, scoring: str, folds: int, oversampling: bool
     fitted = fit_many(rows, [(whole + k, model(chosen[k], whole + k)) for k in range(folds)], sizes, width)
     scored = probabilities(rows, fitted, ["label", "fold"]).select("label", "fold", F.get("members", F.col("fold")).alias("probability"))
     outer = {r["fold"]: r for r in sampling.binary_scores(scored.withColumn("prediction", (F.col("probability") > 0.5).cast("int")), ["fold"]).collect()}
-    rows.unpersist()
+    release(rows)
     return [{s: float(outer[k][s]) if k in outer else 0.0 for s in SCORES} for k in range(folds)], chosen[-1]
 
 
@@ -190,9 +192,13 @@ def nested_cross_validation(df: DataFrame, models: list[str], scoring: str = "pr
     return scores, best, params
 
 
-def train_ensemble(data: DataFrame, label: str, featureset: str, members: int = 100, parallelism: int = 4, model: str = "LogReg", params: dict | None = None) -> list:
-    """(features, model) of each member, in numeric order: fit on four fifths by its own seed, features fit anew. Without params, MEMBER."""
+def train_ensemble(data: DataFrame, label: str, featureset: str, members: int = 100, parallelism: int = 4, model: str = "LogReg", params: dict | None = None) -> LogisticEnsemble | list:
+    """Members in numeric order, each fit on four fifths by its own seed, features fit anew; without params, MEMBER. Logistic members are
+    one model; of any other kind it is a list of (features, model)."""
     params = MEMBER if params is None else params
+    if model == "LogReg":
+        rows = labelled(data.dropna(subset=select_features(featureset).required), label)
+        return LogisticEnsemble.fit(rows, featureset, members, lambda n: get_model(model, params, n))
 
     def one(seed: int):
         part = stratified_split(data, label, "_row", 0.2, seed).where(~F.col("is_test")).drop("is_test")
@@ -205,7 +211,8 @@ def train_ensemble(data: DataFrame, label: str, featureset: str, members: int =
 
 
 def train(data: DataFrame, folder: str, training_snapshot: str, label: str = "aggregate_tags", featureset: str = "rse", models: list[str] | None = None, scoring: str = "precision", folds: int = 5, oversampling: bool = False, members: int = 100, grids: dict | None = None, now: datetime.datetime | None = None) -> Path:
-    """Writes a model snapshot: metadata.json, scores (Parquet), model, and the members with their features; returns its folder."""
+    """Writes a model snapshot: metadata.json, scores (Parquet), model, and the members with their features (logistic ones as one model, in
+    members; others each in a folder of its own); returns its folder."""
     models = models or list(GRIDS)
     name = f"{featureset}_{(now or datetime.datetime.now()).strftime('%Y-%m-%dT%H-%M-%S')}_{__version__}"
     target = Path(folder) / name
@@ -221,17 +228,25 @@ def train(data: DataFrame, folder: str, training_snapshot: str, label: str = "ag
     scores, best, params = nested_cross_validation(matrix, models, scoring, folds, oversampling, 0, grids)
     scores.write.parquet(str(target / "scores"))
     _fit(matrix, best, params, oversampling, 0).write().save(str(target / "model"))
-    for i, (own, model) in enumerate(train_ensemble(rows, label, featureset, members, model=best, params=params)):
-        model.write().save(str(target / f"member_{i:03d}"))
-        own.save(str(target / f"features_{i:03d}"))
+    matrix.unpersist()
+    ensemble = train_ensemble(rows, label, featureset, members, model=best, params=params)
+    if isinstance(ensemble, LogisticEnsemble):
+        (target / "members").mkdir()
+        ensemble.save(target / "members", {"members": members, "model": best, "parameters": params})
+    else:
+        for i, (own, model) in enumerate(ensemble):
+            model.write().save(str(target / f"member_{i:03d}"))
+            own.save(str(target / f"features_{i:03d}"))
     metadata = {"snapshot": name, "training": {"training_snapshot": str(training_snapshot), "models": models, "featureset": featureset, "prediction_field": label, "oversampling": oversampling, "scoring": scoring}, "best_model": best, "best_parameters": params, "version": __version__, "spark": data.sparkSession.version}
     (target / "metadata.json").write_text(json.dumps(metadata, sort_keys=True, indent=2, default=str))
     return target
 
 
-def load_ensemble(spark: SparkSession, folder: str | Path) -> list:
-    """(features, model) of each member of a model snapshot, in numeric order, as train_ensemble returns them."""
+def load_ensemble(spark: SparkSession, folder: str | Path) -> LogisticEnsemble | list:
+    """The members of a model snapshot, in numeric order, as train_ensemble returns them."""
     folder = Path(folder)
+    if (folder / "members").exists():
+        return LogisticEnsemble.load(spark, folder / "members")
     featureset = json.loads((folder / "metadata.json").read_text())["training"]["featureset"]
     members = sorted(folder.glob("member_*"), key=lambda p: int(p.name.split("_")[1]))
     return [(select_features(featureset)().load(spark, str(folder / f"features_{p.name.split('_')[1]}")), DefaultParamsReader.loadParamsInstance(str(p), spark)) for p in members]

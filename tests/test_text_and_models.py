@@ -225,7 +225,7 @@ def test_train_predict_report(spark, tmp_path, monkeypatch):
     data = spark.createDataFrame(rows, "jobid string, description string, job_title string, aggregate_tags int").withColumn("_row", F.col("jobid").cast("long"))
     folder = train.train(data, str(tmp_path), "t1", featureset="small", models=["LogReg"], folds=2, members=2, grids={"LogReg": [{"C": [10.0]}]})
     metadata = json.loads((folder / "metadata.json").read_text())
-    assert metadata["best_model"] == "LogReg" and (folder / "member_001").exists()
+    assert metadata["best_model"] == "LogReg" and json.loads((folder / "members" / "members.json").read_text())["members"] == 2
     ensemble = train.train_ensemble(data, "aggregate_tags", "small", 2)
     jobs = data.drop("_row", "aggregate_tags").withColumns({"salary_median": F.lit(30000.0), "date": F.lit("2020-03-01").cast("date"), "contract": F.lit("Permanent"), "extra_location": F.lit("Wales")})
     predictions = predict.predict(jobs, None, ensemble, "s1", 50)
@@ -242,16 +242,20 @@ def test_train_predict_report(spark, tmp_path, monkeypatch):
 @pytest.mark.parametrize(("model", "params"), [("CART", {"max_depth": 2}), ("LogReg", {"C": 10.0})])
 def test_members_are_the_model_that_the_search_chose(spark, tmp_path, monkeypatch, model, params):
     monkeypatch.setitem(features.FEATURE_SETS, "small", Small)
+    made, plain = [], train.get_model
+    monkeypatch.setattr(train, "get_model", lambda *a: made.append(plain(*a)) or made[-1])
     rows = [(i, "software code testing python" if i % 2 else "history essay archive letters", f"Post {i % 3}", i % 2) for i in range(40)]
     data = spark.createDataFrame(rows, "_row long, description string, job_title string, aggregate_tags int")
     folder = train.train(data, str(tmp_path), "t1", featureset="small", models=[model], folds=2, members=1, grids={model: [{k: [v] for k, v in params.items()}]})
-    chosen, member = (json.loads(next((folder / name / "metadata").glob("part-*")).read_text()) for name in ("model", "member_000"))
-    assert member["class"] == chosen["class"]
+    chosen = json.loads(next((folder / "model" / "metadata").glob("part-*")).read_text())
     if model == "CART":
-        assert member["paramMap"]["maxDepth"] == 2
+        member = json.loads(next((folder / "member_000" / "metadata").glob("part-*")).read_text())
+        assert member["class"] == chosen["class"] and member["paramMap"]["maxDepth"] == 2
     else:
-        # Four fifths of 40 rows.
-        assert member["paramMap"]["regParam"] == pytest.approx(1 / (10 * 32))
+        # Logistic members are one model; four fifths of 40 rows.
+        about = json.loads((folder / "members" / "members.json").read_text())
+        assert chosen["class"].endswith("LogisticRegressionModel") and about["model"] == "LogReg" and about["parameters"] == params
+        assert made[-1].getRegParam() == pytest.approx(1 / (10 * 32))
 
 
 def test_a_saved_ensemble_predicts(spark, tmp_path, monkeypatch):
