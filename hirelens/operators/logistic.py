@@ -5,8 +5,8 @@ and gradients of all columns in one pass over the rows. A row has a multiplicity
 held out), and a column reads one part. Each column goes its own way (L-BFGS with its own history, steps and end), and columns that have
 converged leave the passes.
 
-The rows stay where they are, and what moves is a matrix: the weights go out once a pass, and the gradients come back as slices that are
-summed on the executors, each by one streaming task, before the driver puts them together. Columns are taken in blocks of at most
+The rows stay where they are, and what moves is a matrix: the weights go out once a pass, and the gradients come back in slices: to the
+driver if all tasks' together are small, or else to tasks that sum a slice each as it streams by, before the driver puts them together. Columns are taken in blocks of at most
 MOST_ENTRIES weights, so that the driver holds a bounded matrix (and HISTORY pairs of it) whatever the number of fits.
 
 Features may be scaled by column: then a row's features a in a block of the columns become a * scale / |a * scale|, as TF-IDF weights do
@@ -38,6 +38,8 @@ HISTORY = 8
 SLICE_BYTES = 1 << 20
 #: A column ends where no entry of its gradient is beyond this, or where two steps in a row gain no more than the estimator's tolerance.
 GRADIENT = 1e-6
+#: Bytes of gradients that the tasks of a pass send to the driver themselves; beyond, slices are summed by tasks first.
+DRIVER_BYTES = 32 << 20
 #: Products of a feature and a weight in one task of a pass; a small table is read by few tasks.
 TASK_WORK = 1 << 25
 #: Entries of a matrix that a worker makes of some rows.
@@ -174,13 +176,13 @@ def _evaluate(rows: DataFrame, spread: int, weights: np.ndarray, intercepts: np.
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([v.tobytes() for v in found.values()], pa.binary())], names=["slice", "part"])
 
     partials = rows.mapInArrow(partial, "slice int, part binary")
-    if spread > 1:
+    if spread * (width + 2) * fits * 8 > DRIVER_BYTES:
         partials = partials.repartition(min(slices, spread), "slice").mapInArrow(summed, "slice int, part binary")
-    found = sorted(partials.collect())
+    out = np.zeros((width + 2, fits))
+    for r in partials.collect():
+        at = r["slice"] * held
+        out[at : at + held] += np.frombuffer(r["part"]).reshape(-1, fits)
     sent.destroy()
-    if not found:
-        return np.zeros(fits), np.zeros((width + 1, fits))
-    out = np.concatenate([np.frombuffer(r["part"]) for r in found]).reshape(width + 2, fits)
     return out[width + 1], out[: width + 1]
 
 
