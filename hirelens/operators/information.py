@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .sampling import placed
+
 
 def _entropy(joint: Column, marginal: Column) -> Column:
     q = (joint + 1) / (marginal + 2)
@@ -34,14 +35,17 @@ def contingency(counts: DataFrame) -> DataFrame:
 
 
 def ranked(informed: DataFrame, method: str = "dense", digits: int = 12) -> DataFrame:
-    """informed with rank (by rounded information, so that summation order does not part equals). The distinct values are ranked,
-    then joined back: what one task orders is the distinct values of an entropy of two counts, not the terms."""
-    rank = {"dense": F.dense_rank, "min": F.rank, "ordinal": F.row_number}[method]
-    if method != "dense":
-        order = W.orderBy(F.round("information", digits), "ngram") if method == "ordinal" else W.orderBy(F.round("information", digits))
-        return informed.withColumn("rank", rank().over(order).cast("long"))
+    """informed with rank (by rounded information, so that summation order does not part equals): dense, min (1 and the terms before) or
+    ordinal (equals by term). The distinct values are ranked in ranges, then joined back; most terms share few values, so equals are
+    ranked in ranges of terms too."""
+    if method not in ("dense", "min", "ordinal"):
+        raise ValueError(f"no such rank: {method}")
     keyed = informed.withColumn("_v", F.round("information", digits))
-    ranks = keyed.select("_v").distinct().withColumn("rank", rank().over(W.orderBy("_v")).cast("long"))
+    values = keyed.groupBy("_v").agg(F.count("*").alias("_terms"))
+    ranks = placed(values, [], "_v", weight=None if method == "dense" else "_terms").select("_v", F.col("_place").cast("long").alias("rank"))
+    if method == "ordinal":
+        keyed = placed(keyed, ["_v"], "ngram").withColumnRenamed("_place", "_nth").drop("_n")
+        return keyed.join(ranks, "_v").withColumn("rank", F.col("rank") + F.col("_nth") - 1).drop("_v", "_nth")
     return keyed.join(ranks, "_v").drop("_v")
 
 

@@ -1,7 +1,6 @@
 """Folds, splits, samples and oversampling, each decided by row keys and not by physical order.
 
-Folds, splits and oversampling take labelled rows, of which there are as many as people rated, a window a label; samples of predictions
-are ranked in parts.
+All rank rows within groups; ranks are counted in ranges of the order, so that a group of half the rows is many tasks.
 """
 
 from __future__ import annotations
@@ -13,34 +12,53 @@ from pyspark.sql import functions as F
 
 #: Parts of an order that are ranked apart.
 BUCKETS = 1024
+#: Keys, about, that the ends of the parts are chosen from.
+SAMPLE = 16384
 
 
 def _seeded(seed: int | None, *keys: str) -> Column:
     return F.xxhash64(F.lit(seed), *keys) if seed is not None else F.lit(0)
 
 
-def placed(df: DataFrame, by: list[str], key: str, seed: int | None = None) -> DataFrame:
-    """df with _place, the row's rank from 1 in its group, and _n, the group's rows: in seeded order or, without a seed, by key.
+def _ends(df: DataFrame, key: str) -> DataFrame:
+    """One row, _ends: keys that cut the order of df's keys into about equal parts, from a sample of the keys by their hash. All keys that
+    begin alike, or an outlier far from the others, do not make one part of all."""
+    step = df.agg(F.greatest(F.floor(F.count("*") / SAMPLE), F.lit(1)).alias("_step"))
+    chosen = df.select(key).crossJoin(F.broadcast(step)).where(F.pmod(F.xxhash64(key), F.col("_step")) == 0)
+    sample = chosen.agg(F.array_sort(F.collect_set(key)).alias("_s"))
+    at = F.sequence(F.lit(1), F.lit(BUCKETS - 1))
+    return sample.select(F.when(F.size("_s") == 0, F.slice("_s", 1, 0)).otherwise(F.transform(at, lambda i: F.get("_s", F.floor(i * F.size("_s") / BUCKETS).cast("int")))).alias("_ends"))
 
-    The order is cut into buckets that ascend with it (the hash's high bits, equal widths of a number, a text's first bytes); a rank is
-    the count of the lower buckets, from one aggregate, plus the rank in the own bucket, so a group of half the rows is many tasks.
+
+def _part(key: str) -> Column:
+    """How many of _ends are not above the key, by halving steps; none for a null key."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(BUCKETS.bit_length() - 1))])
+    past = lambda at: F.coalesce(F.get("_ends", at - 1) <= F.col(key), F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(past(at + step), at + step).otherwise(at))
+
+
+def placed(df: DataFrame, by: list[str], key: str, seed: int | None = None, weight: str | None = None) -> DataFrame:
+    """df with _place, the row's rank from 1 in its group, and _n, the group's rows: in seeded order or, without a seed, by key (null
+    first). With a weight, _place is 1 and the weights of the rows before, and _n the group's weights.
+
+    The order is cut into parts that ascend with it: the hash's high bits, or ranges between sampled keys. A rank is the count of the
+    lower parts, from one aggregate, plus the rank in the own part.
     """
-    order = [key] if seed is None else [_seeded(seed, key), key]
-    kind = dict(df.dtypes)[key]
+    order = [F.col(key)] if seed is None else [_seeded(seed, key), F.col(key)]
     if seed is not None:
-        cut = df.withColumn("_b", F.shiftright(_seeded(seed, key), 64 - BUCKETS.bit_length() + 1))
-    elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double"):
-        ends = df.agg(F.min(key).cast("double").alias("_low"), F.max(key).cast("double").alias("_high"))
-        width = F.greatest((F.col("_high") - F.col("_low")) / BUCKETS, F.lit(1e-9))
-        cut = df.crossJoin(F.broadcast(ends)).withColumn("_b", F.floor((F.col(key).cast("double") - F.col("_low")) / width)).drop("_low", "_high")
+        cut = df.withColumn("_b", F.shiftright(_seeded(seed, key), 64 - BUCKETS.bit_length() + 1).cast("int"))
     else:
-        cut = df.withColumn("_b", F.hex(F.substring(F.encode(F.col(key).cast("string"), "utf-8"), 1, 3)))
-    counts = cut.groupBy(*by, "_b").agg(F.count("*").alias("_c"))
-    upto = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    below = counts.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_b").alias("_bb"), F.coalesce(F.sum("_c").over(upto), F.lit(0)).alias("_below"), F.sum("_c").over(W.partitionBy(*by)).alias("_n"))
-    same = F.expr(" AND ".join(["_b <=> _bb", *[f"`{c}` <=> _by{i}" for i, c in enumerate(by)]]))
-    own = F.row_number().over(W.partitionBy(*by, "_b").orderBy(*order))
-    ranked = cut.withColumn("_own", own).join(below, same)
+        cut = df.crossJoin(F.broadcast(_ends(df, key))).withColumn("_b", _part(key)).drop("_ends")
+    one = F.lit(1).cast("long") if weight is None else F.col(weight)
+    counts = cut.groupBy(*by, "_b").agg(F.sum(one).alias("_c"))
+    # A group has BUCKETS rows at most here; pmod by one is a partition of all where there is no group.
+    groups = [F.col(c) for c in by] or [F.pmod("_b", F.lit(1))]
+    upto = W.partitionBy(*groups).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    below = counts.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_b").alias("_bb"), F.coalesce(F.sum("_c").over(upto), F.lit(0)).alias("_below"), F.sum("_c").over(W.partitionBy(*groups)).alias("_n"))
+    same = F.expr(" AND ".join(["_b = _bb", *[f"`{c}` <=> _by{i}" for i, c in enumerate(by)]]))
+    own = W.partitionBy(*by, "_b").orderBy(*order)
+    rank = F.row_number().over(own) if weight is None else F.coalesce(F.sum(one).over(own.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + 1
+    ranked = cut.withColumn("_own", rank).join(below, same)
     return ranked.select(*df.columns, (F.col("_own") + F.col("_below")).alias("_place"), "_n")
 
 
@@ -91,10 +109,18 @@ def oversampled_parts(df: DataFrame, label: str, key: str, seed: int = 0) -> Dat
 def split_parts(df: DataFrame, label: str, key: str, members: int, test_share: float = 0.2) -> DataFrame:
     """df with parts: for each seed 0 .. members - 1 whether stratified_split of that seed trains on the row, all splits in one pass."""
     long = df.select(key, label, F.explode(F.sequence(F.lit(0), F.lit(members - 1))).alias("_part"))
-    w = W.partitionBy("_part", label)
-    place = F.row_number().over(w.orderBy(F.xxhash64("_part", key), key))
-    long = long.withColumn("_out", place <= F.ceil(F.count("*").over(w) * F.lit(test_share)))
-    out = long.where("_out").groupBy(key).agg(F.collect_list("_part").alias("_held"))
+    # Ordered by the member's hash of the key, as a group's rows are; equal hashes are in the order of the second one.
+    long = long.withColumn("_at", F.xxhash64("_part", key)).withColumn("_b", F.shiftright("_at", 64 - BUCKETS.bit_length() + 1).cast("int"))
+    counts = long.groupBy("_part", label, "_b").count()
+    upto = W.partitionBy("_part", label).orderBy("_b")
+    taken = F.ceil(F.sum("count").over(W.partitionBy("_part", label)) * F.lit(test_share))
+    below = F.coalesce(F.sum("count").over(upto.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # Parts wholly before or after the cut are decided by their counts; only the part of the cut is ranked.
+    cuts = counts.withColumns({"_below": below, "_taken": taken}).where(F.col("_below") < F.col("_taken")).select(F.col("_part").alias("_p"), F.col(label).alias("_y"), F.col("_b").alias("_bb"), (F.col("_taken") - F.col("_below")).alias("_left"), "count")
+    near = long.join(cuts, (F.col("_part") == F.col("_p")) & F.col(label).eqNullSafe(F.col("_y")) & (F.col("_b") == F.col("_bb")))
+    place = F.row_number().over(W.partitionBy("_part", label, "_b").orderBy("_at", key))
+    out = near.where(F.col("_left") >= F.col("count")).select(key, "_part").unionByName(near.where(F.col("_left") < F.col("count")).withColumn("_place", place).where(F.col("_place") <= F.col("_left")).select(key, "_part"))
+    out = out.groupBy(key).agg(F.collect_list("_part").alias("_held"))
     every = F.sequence(F.lit(0), F.lit(members - 1))
     trained = F.transform(every, lambda m: F.when(F.array_contains(F.col("_held"), m), 0.0).otherwise(1.0))
     return df.join(out, key, "left").withColumn("parts", F.when(F.col("_held").isNull(), F.transform(every, lambda _: F.lit(1.0))).otherwise(trained)).drop("_held")
@@ -102,19 +128,15 @@ def split_parts(df: DataFrame, label: str, key: str, members: int, test_share: f
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int | None = 0) -> DataFrame:
     """is_test: of each label the share first in seeded (without a seed, key) order; the test part is rounded up."""
-    w = W.partitionBy(label)
-    place = F.row_number().over(w.orderBy(_seeded(seed, key), key))
-    return df.withColumn("is_test", place <= F.ceil(F.count("*").over(w) * F.lit(test_share)))
+    return placed(df, [label], key, seed).select(*df.columns, (F.col("_place") <= F.ceil(F.col("_n") * F.lit(test_share))).alias("is_test"))
 
 
 def oversampled(df: DataFrame, label: str, key: str, seed: int = 0) -> DataFrame:
     """Labels of equal size: rows of the smaller ones repeat in seeded order."""
-    counts = df.groupBy(label).count()
-    most = counts.agg(F.max("count").alias("_most"))
-    sized = df.join(F.broadcast(counts.crossJoin(most)), label)
-    place = F.row_number().over(W.partitionBy(label).orderBy(_seeded(seed, key), key))
-    times = F.floor(F.col("_most") / F.col("count")) + (place <= F.col("_most") % F.col("count")).cast("long")
-    return sized.withColumn("_times", times).withColumn("_t", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*df.columns)
+    most = df.groupBy(label).count().agg(F.max("count").alias("_most"))
+    ranked = placed(df, [label], key, seed).crossJoin(F.broadcast(most))
+    times = F.floor(F.col("_most") / F.col("_n")) + (F.col("_place") <= F.col("_most") % F.col("_n")).cast("long")
+    return ranked.withColumn("_times", times).withColumn("_t", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*df.columns)
 
 
 def partition_jobs(predictions: DataFrame, n: int | None = None, seed: int | None = 0) -> DataFrame:
@@ -138,6 +160,7 @@ def binary_scores(scored: DataFrame, by: list[str] | None = None, label: str = "
     c = scored.groupBy(*by).agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"))
     found = rates(c, by)
     levels = scored.groupBy(*by, probability).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    below = F.coalesce(F.sum("neg").over(W.partitionBy(*by).orderBy(probability).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    won = levels.withColumn("won", F.col("pos") * (below + F.col("neg") / 2)).groupBy(*by).agg(F.coalesce(F.try_divide(F.sum("won"), F.sum("pos") * F.sum("neg")), F.lit(0.0)).alias("roc_auc"))
+    below = F.col("_place") - 1
+    ranked = placed(levels, by, probability, weight="neg")
+    won = ranked.withColumn("won", F.col("pos") * (below + F.col("neg") / 2)).groupBy(*by).agg(F.coalesce(F.try_divide(F.sum("won"), F.sum("pos") * F.sum("neg")), F.lit(0.0)).alias("roc_auc"))
     return found.join(won, by) if by else found.crossJoin(won)
