@@ -1,4 +1,4 @@
-"""Many logistic regressions over the same rows at once.
+"""Many linear classifiers (logistic regressions, support vector machines) over the same rows at once.
 
 A grid in folds, or an ensemble, is one optimisation: the weights are a matrix with a column a fit, and each iteration computes the losses
 and gradients of all columns in one pass over the rows. A row has a multiplicity in each part (a fold's training rows, a member's split; 0:
@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +42,8 @@ GRADIENT = 1e-6
 DRIVER_BYTES = 32 << 20
 #: Products of a feature and a weight in one task of a pass; a small table is read by few tasks.
 TASK_WORK = 1 << 25
+#: The hinge loss is a parabola over so much of the margin before 1, as the optimiser wants a gradient everywhere.
+BEND = 0.05
 #: Entries of a matrix that a worker makes of some rows.
 _CHUNK = 1 << 20
 
@@ -132,6 +134,16 @@ class Linear:
             out[places] += self.scale[places] * (a[:, columns].T @ (residual / length))
 
 
+def _losses(z: np.ndarray, y: np.ndarray, hinge: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(loss, its derivative by the margin) of margins of rows whose labels are a column."""
+    if hinge:
+        sign = np.where(y > 0, 1.0, -1.0)
+        short = np.maximum(1 - sign * z, 0)
+        return np.where(short < BEND, short * short / (2 * BEND), short - BEND / 2), -sign * np.minimum(short / BEND, 1)
+    small = np.exp(-np.abs(z))
+    return np.log1p(small) + np.maximum(np.where(y > 0, -z, z), 0), np.where(z >= 0, 1, small) / (1 + small) - y
+
+
 def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
@@ -140,7 +152,7 @@ def _lists(column: pa.ListArray, rows: int) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(rows, -1) if rows else np.zeros((0, 0))
 
 
-def _evaluate(rows: DataFrame, spread: int, weights: np.ndarray, intercepts: np.ndarray, fixed, columns: np.ndarray, part: np.ndarray, by_label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _evaluate(rows: DataFrame, spread: int, weights: np.ndarray, intercepts: np.ndarray, fixed, columns: np.ndarray, part: np.ndarray, by_label: np.ndarray, hinge: bool) -> tuple[np.ndarray, np.ndarray]:
     """(loss of each column, gradients with the intercept's in the last row) in one pass, without the penalty."""
     sc = rows.sparkSession.sparkContext
     width, fits = weights.shape
@@ -160,9 +172,9 @@ def _evaluate(rows: DataFrame, spread: int, weights: np.ndarray, intercepts: np.
                 y = label[some]
                 omega = share[some][:, part] * np.where(y[:, None] > 0, by_label[1], by_label[0])
                 z = model.margins(a, at)
-                small = np.exp(-np.abs(z))
-                out[width + 1] += (omega * (np.log1p(small) + np.maximum(np.where(y[:, None] > 0, -z, z), 0))).sum(axis=0)
-                residual = omega * (np.where(z >= 0, 1 / (1 + small), small / (1 + small)) - y[:, None])
+                loss, slope = _losses(z, y[:, None], hinge)
+                out[width + 1] += (omega * loss).sum(axis=0)
+                residual = omega * slope
                 out[width] += residual.sum(axis=0)
                 model.add_gradient(out[:width], a, at, residual)
         yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([out[k * held : (k + 1) * held].tobytes() for k in range(slices)], pa.binary())], names=["slice", "part"])
@@ -267,9 +279,10 @@ def _entries(rows: DataFrame) -> int:
     return rows.select("features").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def fit_many(rows: DataFrame, fits: list[tuple[int, LogisticRegression]], sizes: np.ndarray, width: int, scale: np.ndarray | None = None, cuts: list[int] | None = None) -> Fits:
+def fit_many(rows: DataFrame, fits: list[tuple[int, Estimator]], sizes: np.ndarray, width: int, scale: np.ndarray | None = None, cuts: list[int] | None = None, hinge: bool = False) -> Fits:
     """The fits (part, estimator) over rows (label, features, parts). sizes is part_sizes(rows). Of an estimator its penalty (regParam, L2),
-    its tolerance, its limit of iterations, and whether it has weights, which are those that balance the labels of its part."""
+    its tolerance, its limit of iterations, and whether it has weights, which are those that balance the labels of its part. The loss is
+    logistic, or with hinge that of a support vector machine."""
     # Written first: every pass is a query of its own, whose plan would hold all that the rows come from.
     table = written(rows.where(F.col("label").isin(0.0, 1.0) & F.col("features").isNotNull() & F.col("parts").isNotNull()).select("label", "features", "parts"))
     cached = table.persist()
@@ -293,7 +306,7 @@ def fit_many(rows: DataFrame, fits: list[tuple[int, LogisticRegression]], sizes:
 
             def evaluate(x: np.ndarray, columns: np.ndarray, here=here, fixed=fixed) -> tuple[np.ndarray, np.ndarray]:
                 chosen = here[columns]
-                return _evaluate(rows, spread, x[:-1], x[-1], fixed, columns, part[chosen], by_label[:, chosen])
+                return _evaluate(rows, spread, x[:-1], x[-1], fixed, columns, part[chosen], by_label[:, chosen], hinge)
 
             x, out.passes[here], out.converged[here] = _minimise(evaluate, width, regular[here], tolerance[here], most[here])
             out.weights[:, here], out.intercepts[here] = x[:-1], x[-1]

@@ -11,7 +11,7 @@ from typing import Any
 
 import numpy as np
 from pyspark.ml import Estimator
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +21,7 @@ from .. import __version__
 from ..operators import sampling
 from ..operators.ensemble import LogisticEnsemble
 from ..operators.features import labelled, select_features
+from ..operators.kernel import KernelMap, KernelSVC, landmarks_of, width_of
 from ..operators.logistic import Fits, confusions, fit_many, part_sizes, probabilities
 from ..operators.metrics import best_score
 from ..operators.sampling import binary_scores, oversampled, stratified_folds, stratified_split
@@ -29,7 +30,7 @@ from ..shared import release, written
 
 # The hyper-parameters that the grids search, in the range language of expand().
 GRIDS: dict[str, list[dict[str, Any]]] = {
-    "SVC": [{"C": "=e-3:8:12", "class_weight": ["balanced", None]}],
+    "SVC": [{"C": "=e-3:8:12", "gamma": "=e-5:4:10", "kernel": ["rbf"], "class_weight": ["balanced", None]}, {"C": "=e-3:8:12", "kernel": ["linear"]}],
     "LogReg": [{"C": "=e-4:4:20", "class_weight": ["balanced", None]}],
     "RandomForest": [{"n_estimators": "=10:101:10", "max_features": "=6:32:5"}],
     "CART": [{"max_depth": "=3:20"}],
@@ -64,7 +65,7 @@ def get_model(name: str, params: dict[str, Any], n: int, seed: int = 0) -> Estim
     if name == "LogReg":
         return LogisticRegression(regParam=regular, elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-8, **weight)
     if name == "SVC":
-        return LinearSVC(regParam=regular, standardization=False, maxIter=200, **weight)
+        return KernelSVC(params.get("C", 1.0), n, params.get("gamma", 1.0) if params.get("kernel", "rbf") == "rbf" else None, bool(weight), seed)
     if name == "RandomForest":
         return RandomForestClassifier(numTrees=params.get("n_estimators", 100), maxDepth=30, featureSubsetStrategy=str(params.get("max_features", "auto")), seed=seed)
     if name == "CART":
@@ -85,6 +86,8 @@ def balanced(df: DataFrame) -> DataFrame:
 
 def probability(scored: DataFrame) -> DataFrame:
     """probability as P(label 1); a model with margins only gets their logistic."""
+    if dict(scored.dtypes).get("probability") == "double":
+        return scored
     if "probability" in scored.columns:
         return scored.withColumn("probability", vector_to_array("probability")[1])
     return scored.withColumn("probability", 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1])))
@@ -130,24 +133,39 @@ def search(df: DataFrame, model: str, scoring: str, folds: int, oversampling: bo
     return choices[int(np.argmax([np.mean(v) for v in values]))]
 
 
-def _nested_logistic(df: DataFrame, scoring: str, folds: int, oversampling: bool, seed: int, grids: dict | None) -> tuple[list[dict[str, float]], dict]:
-    """(scores of each outer fold, parameters that the search over all rows chooses): every search's points and folds are columns of one
-    matrix of fits, and the refits of the outer folds of another."""
-    choices, whole = grid("LogReg", grids), folds * (folds + 1)
-    width = df.select(F.max(F.size(vector_to_array("features")))).first()[0] or 0
+def _nested_many(df: DataFrame, model: str, scoring: str, folds: int, oversampling: bool, seed: int, grids: dict | None) -> tuple[list[dict[str, float]], dict]:
+    """(scores of each outer fold, parameters that the search over all rows chooses) of a model that is linear in its (mapped) features:
+    every search's points and folds are columns of one matrix of fits, and the refits of the outer folds of another. Points that share a
+    kernel are fitted together; its landmarks are drawn from all rows, without their labels."""
+    choices, whole = grid(model, grids), folds * (folds + 1)
     rows = sampling.nested_folds(df.select("_row", "label", "features"), "label", "_row", folds)
     rows = written(sampling.oversampled_parts(rows, "label", "_row", seed) if oversampling else rows)
-    sizes = part_sizes(rows, whole + folds)
-    model = lambda point, part: get_model("LogReg", point, int(sizes[:, part].sum()), seed)
+    sizes, width = part_sizes(rows, whole + folds), width_of(rows)
+    gamma = lambda c: c.get("gamma", 1.0) if model == "SVC" and c.get("kernel", "rbf") == "rbf" else None
+    gammas = list(dict.fromkeys(map(gamma, choices)))
+    landmarks = landmarks_of(rows, seed) if gammas != [None] else None
+    kernels = {g: KernelMap(np.zeros((0, width)) if g is None else landmarks, g) for g in gammas}
+
+    def fitted(g: float | None, columns: list[tuple[int, dict]]) -> tuple[DataFrame, Fits]:
+        mapped = kernels[g].mapped(rows, ["label", "fold", "parts", "held"])
+        made = [(part, get_model(model, c, int(sizes[:, part].sum()), seed)) for part, c in columns]
+        return mapped, fit_many(mapped, made, sizes, kernels[g].width, hinge=model == "SVC")
+
     chosen = [choices[0]] * (folds + 1)
     if len(choices) > 1:
-        columns = [(part, c) for part in range(whole) for c in choices]
-        fitted = fit_many(rows, [(part, model(c, part)) for part, c in columns], sizes, width)
-        found = _column_scores(rows, fitted, [part for part, _ in columns], scoring).reshape(folds + 1, folds, len(choices))
+        found = np.zeros((folds + 1, folds, len(choices)))
+        for g in gammas:
+            some = [i for i, c in enumerate(choices) if gamma(c) == g]
+            mapped, fits = fitted(g, [(part, choices[i]) for part in range(whole) for i in some])
+            found[:, :, some] = _column_scores(mapped, fits, [part for part in range(whole) for _ in some], scoring).reshape(folds + 1, folds, len(some))
         chosen = [choices[int(np.argmax(s.mean(axis=0)))] for s in found]
-    fitted = fit_many(rows, [(whole + k, model(chosen[k], whole + k)) for k in range(folds)], sizes, width)
-    scored = probabilities(rows, fitted, ["label", "fold"]).select("label", "fold", F.get("members", F.col("fold")).alias("probability"))
-    outer = {r["fold"]: r for r in sampling.binary_scores(scored.withColumn("prediction", (F.col("probability") > 0.5).cast("int")), ["fold"]).collect()}
+    outer = {}
+    for g in dict.fromkeys(gamma(c) for c in chosen[:-1]):
+        here = [k for k in range(folds) if gamma(chosen[k]) == g]
+        mapped, fits = fitted(g, [(whole + k, chosen[k]) for k in here])
+        column = F.element_at(F.create_map(*[F.lit(x) for i, k in enumerate(here) for x in (k, i)]), F.col("fold"))
+        scored = probabilities(mapped.where(F.col("fold").isin(here)), fits, ["label", "fold"]).select("label", "fold", F.get("members", column).alias("probability"))
+        outer |= {r["fold"]: r for r in sampling.binary_scores(scored.withColumn("prediction", (F.col("probability") > 0.5).cast("int")), ["fold"]).collect()}
     release(rows)
     return [{s: float(outer[k][s]) if k in outer else 0.0 for s in SCORES} for k in range(folds)], chosen[-1]
 
@@ -172,8 +190,8 @@ def nested_cross_validation(df: DataFrame, models: list[str], scoring: str = "pr
     rows, found_params = [], {}
     for place, model in enumerate(models):
         row: dict[str, Any] = {"model": model, "place": place}
-        if model == "LogReg":
-            scores, found_params[model] = _nested_logistic(df, scoring, folds, oversampling, seed, grids)
+        if model in ("LogReg", "SVC"):
+            scores, found_params[model] = _nested_many(df, model, scoring, folds, oversampling, seed, grids)
             for k, found in enumerate(scores):
                 row |= {f"{s}_{k + 1}": found[s] for s in SCORES}
         else:
