@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.text import clean_text, ngrams, remove_stop_words
 from .sampling import placed
@@ -73,6 +74,13 @@ def _length(entries: str, block: int) -> Column:
     return F.sqrt(F.aggregate(F.filter(entries, lambda x: x["block"] == block), F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
 
 
+def as_vector(struct: Column) -> Column:
+    """The vector whose stored form (type, size, indices, values) the struct is. Spark casts no struct to a vector, but its JSON reader makes
+    one of the same fields, without Python; doubles are written so that they are read as they were."""
+    schema = StructType([StructField("v", VectorUDT())])
+    return F.from_json(F.to_json(F.struct(struct.alias("v"))), schema)["v"]
+
+
 def weighted(term_rows: DataFrame, known: DataFrame, width: int) -> DataFrame:
     """_row, features: as a sparse vector's struct, the damped counts 1 + ln count at the positions of known (block, term, at). A row
     without known terms has none. One join, whatever the positions are used for."""
@@ -146,13 +154,9 @@ class TextFeatures:
         return normed.select("_row", F.lit(base).alias("size"), F.col("e.at").alias("indices"), weights.alias("weights"))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """df with features, one sparse vector."""
-
-        @F.udf(VectorUDT())
-        def vector(size, indices, weights):
-            return SparseVector(size, indices, weights)
-
-        return df.join(self.parts(df), "_row").withColumn("features", vector("size", "indices", "weights")).drop("size", "indices", "weights")
+        """df with features, one sparse vector, put together by the JVM."""
+        struct = F.struct(F.lit(0).cast("tinyint").alias("type"), "size", "indices", F.col("weights").alias("values"))
+        return df.join(self.parts(df).select("_row", as_vector(struct).alias("features")), "_row")
 
 
 class ResearchSoftware(TextFeatures):

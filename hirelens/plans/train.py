@@ -113,7 +113,8 @@ def search(df: DataFrame, model: str, scoring: str, folds: int, oversampling: bo
     choices = grid(model, grids)
     if len(choices) == 1:
         return choices[0]
-    inner = stratified_folds(df, "label", "_row", folds).withColumnRenamed("fold", fold_column).cache()
+    # Written, as each of the many fits shows the plan of its rows.
+    inner = written(stratified_folds(df, "label", "_row", folds).withColumnRenamed("fold", fold_column))
     parts = []
     for k in range(folds):
         rows, n = _prepared(inner.where(F.col(fold_column) != k), oversampling, seed)
@@ -129,7 +130,7 @@ def search(df: DataFrame, model: str, scoring: str, folds: int, oversampling: bo
     for rows, _, held in parts:
         rows.unpersist()
         held.unpersist()
-    inner.unpersist()
+    release(inner)
     return choices[int(np.argmax([np.mean(v) for v in values]))]
 
 
@@ -186,8 +187,7 @@ def _column_scores(rows: DataFrame, fitted: Fits, part: list[int], scoring: str)
 
 def nested_cross_validation(df: DataFrame, models: list[str], scoring: str = "precision", folds: int = 5, oversampling: bool = False, seed: int = 0, grids: dict | None = None) -> tuple[DataFrame, str, dict]:
     """(scores, best model, its parameters); df has label, features, _row. scores: model, <score>_<fold>, mean_<score>."""
-    outer = stratified_folds(df, "label", "_row", folds).cache()
-    rows, found_params = [], {}
+    outer, rows, found_params = None, [], {}
     for place, model in enumerate(models):
         row: dict[str, Any] = {"model": model, "place": place}
         if model in ("LogReg", "SVC"):
@@ -195,6 +195,8 @@ def nested_cross_validation(df: DataFrame, models: list[str], scoring: str = "pr
             for k, found in enumerate(scores):
                 row |= {f"{s}_{k + 1}": found[s] for s in SCORES}
         else:
+            if outer is None:
+                outer = written(stratified_folds(df, "label", "_row", folds))
             for k in range(folds):
                 train = outer.where(F.col("fold") != k).drop("fold")
                 params = search(train, model, scoring, folds, oversampling, seed, grids, "_inner")
@@ -206,7 +208,8 @@ def nested_cross_validation(df: DataFrame, models: list[str], scoring: str = "pr
     scores = df.sparkSession.createDataFrame(rows)
     best = best_score(scores, scoring).first()["model"]
     params = found_params[best] if best in found_params else search(df, best, scoring, folds, oversampling, seed, grids, "_inner")
-    outer.unpersist()
+    if outer is not None:
+        release(outer)
     return scores, best, params
 
 
@@ -219,7 +222,7 @@ def train_ensemble(data: DataFrame, label: str, featureset: str, members: int =
         return LogisticEnsemble.fit(rows, featureset, members, lambda n: get_model(model, params, n))
 
     def one(seed: int):
-        part = stratified_split(data, label, "_row", 0.2, seed).where(~F.col("is_test")).drop("is_test")
+        part = written(stratified_split(data, label, "_row", 0.2, seed).where(~F.col("is_test")).drop("is_test"))
         features = select_features(featureset)().fit(part)
         rows = labelled(features.transform(part), label)
         return features, _fit(rows, model, params, False, seed)
@@ -242,11 +245,11 @@ def train(data: DataFrame, folder: str, training_snapshot: str, label: str = "ag
         rows.write.parquet(str(target / "training"))
         rows = data.sparkSession.read.parquet(str(target / "training"))
     features = select_features(featureset)().fit(rows)
-    matrix = features.transform(rows).select("_row", "label", "features").cache()
+    matrix = written(features.transform(rows).select("_row", "label", "features"))
     scores, best, params = nested_cross_validation(matrix, models, scoring, folds, oversampling, 0, grids)
     scores.write.parquet(str(target / "scores"))
     _fit(matrix, best, params, oversampling, 0).write().save(str(target / "model"))
-    matrix.unpersist()
+    release(matrix)
     ensemble = train_ensemble(rows, label, featureset, members, model=best, params=params)
     if isinstance(ensemble, LogisticEnsemble):
         (target / "members").mkdir()

@@ -440,6 +440,14 @@ def ensemble_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("vec_id", scoring.bootstrap_interval("members", 100).alias("ci")).select("vec_id", "ci.*")
 
 
+@query()
+def svc_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A support vector machine with a radial basis kernel on all labelled vectors, and its margins and probabilities of the same."""
+    rows = _labelled_vectors(spark, sf_dir)
+    model = train.get_model("SVC", {"C": 1.0, "gamma": 1.0, "class_weight": "balanced"}, rows.count()).fit(rows)
+    return model.transform(rows).select(F.col("_row").alias("vec_id"), "margin", "probability")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -6,6 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import functions as F
 
+from hirelens import queries
 from hirelens.operators import kernel, logistic
 from hirelens.plans import train
 
@@ -103,3 +104,26 @@ def test_the_grid(spark):
     one = frame(spark, np.ones((6, 2)), np.ones(6))
     got = train.get_model("SVC", {"gamma": 1.0}, 6).fit(one).transform(one).collect()
     assert len({r.margin for r in got}) == 1 and all(r.prediction == 1 and r.probability > 0.5 for r in got)
+
+
+def test_svc_predict_equals_a_plain_machine(spark):
+    """Of the registered query on a table of more rows than landmarks: the margins are those of a plain descent over the same map."""
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").orderBy("vec_id").collect()
+    x, y = np.array([r.embedding for r in table], float), np.array([r.label % 2 for r in table], float)
+    got = {r.vec_id: r for r in queries.queries()["svc_predict"](spark, folder).collect()}
+    assert len(got) == len(table) > kernel.LANDMARKS
+    found = kernel.KernelMap(kernel.landmarks_of(queries._labelled_vectors(spark, folder)), 1.0)
+    z = found.kernel(x @ found.landmarks.T, (x * x).sum(1)) @ found.projection
+    omega = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    w, b, speed = np.zeros(z.shape[1]), 0.0, 1 / (omega.sum() * 2 / logistic.BEND)
+    sign, wp, bp, t = 2 * y - 1, w.copy(), 0.0, 1.0
+    for _ in range(30000):  # accelerated descent on C sum(weight loss) + |w|^2 / 2
+        u = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        wq, bq, t = w + (t - 1) / u * (w - wp), b + (t - 1) / u * (b - bp), u
+        slope = omega * -sign * np.minimum(np.maximum(1 - sign * (z @ wq + bq), 0) / logistic.BEND, 1)
+        wp, bp, w, b = w, b, wq - speed * (z.T @ slope + wq), bq - speed * slope.sum()
+    margins = z @ w + b
+    assert np.allclose([got[r.vec_id].margin for r in table], margins, atol=0.05)
+    # Labels that have nothing to do with the vectors may turn the sigmoid; it is one of the margin all the same.
+    assert abs(np.corrcoef([got[r.vec_id].probability for r in table], margins)[0, 1]) > 0.9

@@ -317,6 +317,16 @@ def test_catalog_config_cli(tmp_path, capsys):
     assert health(Config(config))["models"]
 
 
+def test_vectors_are_made_without_python(spark):
+    df = spark.createDataFrame([(1, "red green red", "blue sky"), (2, "green leaf", None), (3, "", "red"), (4, "zz", "")], "_row long, description string, job_title string").withColumn("more", F.lit(1))
+    found = features.ResearchSoftware(clean=False).fit(df.where("_row < 4"))
+    got = found.transform(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "more" in got.columns
+    want = {r._row: (r["size"], r.indices, r.weights) for r in found.parts(df).collect()}
+    assert {r._row: (r.features.size, r.features.indices.tolist(), r.features.values.tolist()) for r in got.collect()} == want
+
+
 def test_large_vocabularies_meet_the_terms_in_a_shuffled_join(spark, monkeypatch):
     df = spark.createDataFrame([(1, "red green red", "blue sky"), (2, "green leaf", None), (3, "", "red"), (4, "zz", "")], "_row long, description string, job_title string")
     found = features.ResearchSoftware(clean=False).fit(df.where("_row < 4"))
