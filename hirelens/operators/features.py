@@ -149,9 +149,10 @@ class TextFeatures:
         counts = rows.join(known, ["block", "term"], "left").groupBy("_row", "block", "at", "idf").count()
         entry = F.struct("at", "block", ((1 + F.log("count")) * F.col("idf")).alias("w"))
         lists = counts.groupBy("_row").agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), entry))).alias("e"))
-        normed = lists.select("_row", "e", F.array(*[_length("e", block) for block in range(len(self.blocks))]).alias("norms"))
-        weights = F.transform("e", lambda x: x["w"] / F.get("norms", x["block"]))
-        return normed.select("_row", F.lit(base).alias("size"), F.col("e.at").alias("indices"), weights.alias("weights"))
+        # The lengths are bound once, so that they are not summed again for every entry.
+        bound = F.array(F.struct("e", F.array(*[_length("e", block) for block in range(len(self.blocks))]).alias("norms")))
+        weights = F.transform(bound, lambda s: F.transform(s["e"], lambda x: x["w"] / F.get(s["norms"], x["block"])))[0]
+        return lists.select("_row", F.lit(base).alias("size"), F.col("e.at").alias("indices"), weights.alias("weights"))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """df with features, one sparse vector, put together by the JVM."""
