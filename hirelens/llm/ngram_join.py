@@ -11,13 +11,13 @@ below, as the larger partner.
 
 Equal sets are one node (named by a 64-bit digest), so a group of exact copies costs one row per signature and map task. Signatures meet through an aggregate
 (least and greatest node). Groups of up to FEW nodes give their pairs, a bounded number each. Larger groups are joined to clusters
-and verified in blocks of BLOCK nodes by matrix products; a block pair gives a spanning forest of its links, never all pairs. All
+and verified in blocks of about BLOCK nodes, or fewer where their texts have over BLOCK_BYTES, by matrix products; a block pair gives a spanning forest of its links, never all pairs. All
 candidates are verified exactly on their sets. Before pairs fetch their texts, parities of the tokens in SKETCH words of 64 places
 rule out those whose sets surely differ in too many tokens: an odd place in the sum of two sets has a token of only one of them.
 
 Defined results: words are ASCII lower-cased; fewer words than n make one shingle; without words the set is empty and the
 document is its own component; rows are documents of their own even under one doc_id; a null doc_id has a null component unless linked with another; other columns are
-not carried; an empty table gives no rows.
+not carried; a very long text is taken whole, as a step of its own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ from .components import components, thinned
 
 FEW = 16
 BLOCK = 512
+#: Bytes of text in a block of a cluster, about; a longer text has a block of its own.
+BLOCK_BYTES = 32 << 20
 SMALL = 27
 #: Words of 64 bits in a set's sketch of parities.
 SKETCH = 8
@@ -195,14 +197,13 @@ def linked_in_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
     rows, columns = np.repeat(np.arange(len(sets)), sizes)[shared], number[inverse[shared]]
     order = np.argsort(columns, kind="stable")
     rows, columns = rows[order], columns[order]
-    common = np.zeros((len(left), len(right)), np.float32)
+    common = np.zeros((len(left), len(right)), np.int64)
     step = 2048
     for low in range(0, int(columns[-1]) + 1 if len(columns) else 0, step):
         a, b = np.searchsorted(columns, [low, low + step])
         matrix = np.zeros((len(sets), step), np.float32)
         matrix[rows[a:b], columns[a:b] - low] = 1
-        common += matrix[left] @ matrix[right].T
-    common = common.astype(np.int64)  # each a count below 2**24, so exact until here
+        common += (matrix[left] @ matrix[right].T).astype(np.int64)  # a step's counts are at most 2048, exact as floats
     union = sizes[left][:, None] + sizes[right][None, :] - common
     forest, out = _Forest(), []
     for i, j in zip(*np.nonzero((100 * common >= percent * union) & (left[:, None] != right[None, :])), strict=True):
@@ -215,15 +216,16 @@ def linked_in_block(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
 def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, most_empty: float = 0.5) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of docs."""
     bounded_batches(docs.sparkSession)
-    whole = documents(docs)
-    columns = ["doc_id", "n_shingles", "node", *(f"s{k}" for k in range(SKETCH))]
+    # A text is fetched by the digest of its row's doc_id and text: rows that share a doc_id, or have none, are told apart.
+    whole = documents(docs).withColumn("at", F.xxhash64("doc_id", "text"))
+    columns = ["doc_id", "at", "n_shingles", "node", *(f"s{k}" for k in range(SKETCH))]
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in chunks(batches):
             values, at = shingle_sets(data, offsets, n)
             node = nodes(values, at).view(np.int64)
             sketch = [pa.array(x.view(np.int64)) for x in parities(values, at)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at), pa.int64()), pa.array(node, mask=np.diff(at) == 0), *sketch], names=columns)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(np.diff(at), pa.int64()), pa.array(node, mask=np.diff(at) == 0), *sketch], names=columns)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in chunks(batches):
@@ -254,16 +256,16 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, most_empt
         pairs = pairs.unionByName(meet.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))).distinct()
     met = materialise(pairs)
     ends = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sketches = materialise(found.join(ends, "node").groupBy("node").agg(*(F.max(c).alias(c) for c in columns if c not in ("doc_id", "node"))))
+    sketches = materialise(found.join(ends, "node").groupBy("node").agg(*(F.max(c).alias(c) for c in columns if c not in ("doc_id", "at", "node"))))
     pairs = materialise(may_link(met, sketches, percent))
     release(met, sketches)
     many = members.join(sizes.where(f"count > {FEW}").select("signature"), "signature")
     clusters = components(many.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")))
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(clusters.select("node")).distinct()
-    chosen = materialise(found.join(needed, "node").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 62)))).alias("id")))
-    # The text of one document per node; a doc_id with several texts brings them all, and the node tells them apart below.
-    keyed = whole.withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 62)))).select("id", "text")
-    texts = materialise(thinned(keyed, "id", chosen, "id").join(chosen, "id").select("node", "text").distinct())
+    chosen = materialise(found.join(needed, "node").groupBy("node").agg(F.min("at").alias("at")))
+    # Equal rows bring their text once each; texts that share a digest are told apart by the node below.
+    keyed = whole.select("at", "text")
+    texts = materialise(thinned(keyed, "at", chosen, "at").join(chosen, "at").select("node", "text").distinct().withColumn("n_bytes", F.octet_length("text").cast("long")))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,8 +292,9 @@ def similar_components(docs: DataFrame, n: int = 5, percent: int = 80, most_empt
 
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text"))
     checked = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_text", "b_text").mapInArrow(verify, "a long, b long")
-    counted = clusters.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = clusters.join(counted, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(texts, "node")
+    weighed = clusters.join(texts.select("node", "n_bytes"), "node")
+    counted = weighed.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    placed = clusters.join(counted, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(texts.drop("n_bytes"), "node")
     spread = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select("root", "node", "block", "text", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     links = checked.unionByName(spread.groupBy("root", "i", "j").applyInPandas(block_links, "a long, b long"))
     labels = components(links)

@@ -109,3 +109,35 @@ def test_parities_keep_linked_pairs_and_drop_most_others(spark, percent):
     left = {x.a // 2 for x in N.may_link(pairs, sketches, percent).collect()}
     assert linked <= left
     assert len(left - linked) <= 30
+
+
+def test_many_rows_without_an_id_fetch_a_text_each(spark, monkeypatch):
+    r = random.Random(4)
+    texts = []
+    for _ in range(40):
+        base = [f"n{r.randrange(500)}" for _ in range(60)]
+        texts += [" ".join(edited(r, base, 0.004)) for _ in range(10)]
+    stored, write = [], N.materialise
+
+    def counted(df):
+        out = write(df)
+        if "text" in out.columns:
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "materialise", counted)
+    linked = {}
+    for name, rows in (("ids", list(enumerate(texts))), ("none", [(None, t) for t in texts])):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        linked[name] = N.similar_components(docs, 4, 85).collect()
+    assert sorted(map(tuple, linked["ids"])) == sorted(jaccard(list(enumerate(texts)), 4, 85))
+    assert [x.component_id for x in linked["none"]] == [None] * len(texts)
+    assert stored[0] == stored[1] <= len(texts)
+
+
+def test_blocks_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(N, "FEW", 2)
+    rows = made(9)
+    got = sorted(map(tuple, N.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()), key=str)
+    assert got == sorted(jaccard(rows, 4, 85), key=str)
