@@ -1,16 +1,15 @@
-"""Row cleaning as column expressions: nothing leaves the JVM but the fuzzy name match."""
+"""Row cleaning as column expressions: nothing leaves the JVM but the exact ratio of names (`fuzzy`)."""
 
 from __future__ import annotations
 
-import difflib
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..schemas import CHECKED, DERIVED, NEEDED
+from . import fuzzy
 
 # The results have to agree on them.
 KEY_ALIASES = {
@@ -161,25 +160,16 @@ def clean_rows(df: DataFrame, dayfirst_iso: bool = False, extra: tuple[str, ...]
     return out.withColumns({c: F.lit(None).cast(t) for c, t in more.items() if c not in out.columns}).select(*NEEDED, *DERIVED, *[c for c in extra if c in out.columns and c not in NEEDED])
 
 
-@F.pandas_udf(StringType())
-def _closest(names: pd.Series, lists: pd.Series) -> pd.Series:
-    out = []
-    for name, candidates in zip(names, lists, strict=True):
-        best, ratio = None, MATCH_RATIO
-        for c in candidates if name is not None and candidates is not None else ():
-            r = difflib.SequenceMatcher(None, name, c).ratio()
-            if r > ratio or (best is None and r >= ratio):
-                best, ratio = c, r
-        out.append(best)
-    return pd.Series(out, dtype=object)
-
-
-def closest_match(df: DataFrame, column: str, names: list[str], output: str = "match") -> DataFrame:
-    """The most similar of a fixed list of names (difflib ratio of MATCH_RATIO or more, the first of equals). Each distinct
-    value is matched once and joined back."""
-    listed = F.array(*[F.lit(x) for x in names]).cast("array<string>")
-    matched = df.select(column).distinct().where(F.col(column).isNotNull()).withColumn(output, _closest(F.col(column), listed))
-    return df.join(matched, column, "left").select(*df.columns, output)
+def closest_match(df: DataFrame, column: str, names: list[str] | DataFrame, output: str = "match") -> DataFrame:
+    """df with the most similar of the names (ratio of MATCH_RATIO or more, the first of equals) as its last column, in place of one
+    of that name. names is a list, or a table of name and position however long. Each distinct value is matched once and joined back;
+    a null value has no match."""
+    if isinstance(names, list):
+        names = df.sparkSession.createDataFrame(list(enumerate(names)), "position long, name string")
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[column].alias("value"))
+    found = fuzzy.closest_names(rows.select("value"), names, round(100 * MATCH_RATIO))
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c != output]
+    return rows.join(found, "value", "left").select(*kept, F.col("name").alias(output))
 
 
 def uk_university(df: DataFrame, column: str, names: list[str]) -> DataFrame:

@@ -422,6 +422,21 @@ def _labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("vec_id").alias("_row"), (F.col("label") % 2).cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
 
 
+def damaged_parts(parts: DataFrame) -> DataFrame:
+    """p_partkey, full (name, brand and type) and damaged: full without one of its characters."""
+    full = parts.select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("full"))
+    at = (F.col("p_partkey") * 7 % F.length("full")).cast("int")
+    return full.withColumn("damaged", F.concat(F.substring("full", F.lit(1), at), F.substring(F.col("full"), at + 2, F.length("full"))))
+
+
+@query()
+def closest_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part's damaged description with the most similar of all descriptions."""
+    parts = damaged_parts(table(spark, sf_dir, "part"))
+    names = parts.select(F.col("full").alias("name"), F.col("p_partkey").alias("position"))
+    return clean.closest_match(parts.select("p_partkey", "damaged"), "damaged", names, "closest")
+
+
 @query()
 def train_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested cross-validation of logistic regression over its whole grid."""
