@@ -38,8 +38,12 @@ def _ratio(values: pd.Series, names: pd.Series) -> pd.Series:
 
 def _numbered(parts: Column) -> Column:
     """Parts as a set: each with the number of its occurrence."""
-    ordered = F.array_sort(parts)
-    return F.transform(ordered, lambda x, i: F.concat(x, (i + 1 - F.array_position(ordered, x).cast("int") + 1).cast("string")))
+
+    def number(ordered: Column) -> Column:
+        return F.transform(ordered, lambda x, i: F.concat(x, (i + 2 - F.array_position(ordered, x)).cast("string")))
+
+    # Sorted once: a one-element array gives it a name that the inner function can use.
+    return F.get(F.transform(F.array(F.array_sort(parts)), number), F.lit(0))
 
 
 def _shares(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .clean import DATE_FORMATS, clean_rows, col, heading_slug
+from . import dates
+from .clean import clean_rows, col, heading_slug
 
 # Layout names of the pages, and the limits of the parser.
 LEAST_DESCRIPTION = 150
@@ -281,19 +282,9 @@ def json_path(c: Column | str, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(F.try_parse_json(col(c)), "$." + path, kind)
 
 
-_MONTH = r"(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*"
-DATES = rf"\b(\d{{4}}-\d{{2}}-\d{{2}}|\d{{1,2}}/\d{{1,2}}/\d{{4}}|\d{{1,2}}(?:st|nd|rd|th)? {_MONTH},? \d{{4}}|{_MONTH} \d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}})\b"
-
-
 def earliest_date(c: Column | str) -> Column:
-    """The earliest date in the text, from the epoch year on. Dates are read by a fixed list of patterns."""
-    found = F.regexp_extract_all(F.replace(col(c), F.lit(":"), F.lit("")), F.lit(DATES), 1)
-
-    def read(x: Column) -> Column:
-        plain = F.regexp_replace(F.regexp_replace(x, r"(\d)(st|nd|rd|th)\b", "$1"), ",", "")
-        return F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in DATE_FORMATS])
-
-    return F.array_min(F.filter(F.transform(found, read), lambda d: d.isNotNull() & (F.year(d) >= EPOCH_YEAR)))
+    """The earliest date in the text, from the epoch year on (`dates.earliest`); colons are taken out first."""
+    return dates.earliest(F.replace(col(c), F.lit(":"), F.lit("")), EPOCH_YEAR)
 
 
 def parse_adverts(pages: DataFrame, as_of: str, dayfirst_iso: bool = False) -> DataFrame:
@@ -335,7 +326,8 @@ def parse_adverts(pages: DataFrame, as_of: str, dayfirst_iso: bool = False) -> D
     }
     shaped = mapped.select("jobid", "enhanced", "json", F.col("fields").alias("extras"), "all_text", *[c.alias(k) for k, c in columns.items()])
     rows = clean_rows(shaped, dayfirst_iso, ("enhanced", "json", "extras", "department", "region", "type_role", "extra_location", "all_text"))
-    date = F.coalesce("placed_on", "closes", earliest_date("all_text"))
+    # Texts are read only where no date is known.
+    date = F.coalesce("placed_on", "closes", earliest_date(F.when(F.coalesce("placed_on", "closes").isNull(), F.col("all_text"))))
     return rows.withColumn("date", F.when(date < F.date_add(F.lit(as_of).cast("date"), ADVERTISED_DAYS), date)).drop("all_text")
 
 

@@ -437,6 +437,17 @@ def closest_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.closest_match(parts.select("p_partkey", "damaged"), "damaged", names, "closest")
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN strftime(CAST(o_orderdate AS DATE) + INTERVAL 25 YEAR, '%Y-%m-%d') END AS earliest FROM orders""")
+def advert_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earliest date named by a notice of each order, 25 years on: written in one of four ways, with a later one of another form, or none."""
+    d = F.add_months(F.col("o_orderdate").cast("date"), 300)
+    forms = ["'the 'd' of 'MMMM, yyyy", "MMM d yyyy", "dd/MM/yyyy", "yyyy-MM-dd"]
+    said = F.coalesce(*[F.when(F.col("o_orderkey") % 4 == i, F.date_format(d, f)) for i, f in enumerate(forms)])
+    closes = F.date_format(F.date_add(d, 30), "EEEE d MMMM yyyy")
+    notice = F.when(F.col("o_orderkey") % 9 == 0, F.concat(F.lit("Ref 12/34, may close 3 March, grade "), F.col("o_orderpriority"))).otherwise(F.concat(F.lit("Closes "), closes, F.lit(" at 17:00; posted "), said, F.lit(" by post 7a.")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(html.earliest_date(notice), "yyyy-MM-dd").alias("earliest"))
+
+
 @query()
 def train_logreg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested cross-validation of logistic regression over its whole grid."""
