@@ -135,9 +135,10 @@ class TextFeatures:
         found = F.array(*[F.struct(F.lit(block).alias("block"), F.coalesce(self._terms(c), none).alias("terms")) for block, (c, _) in enumerate(self.blocks)])
         return df.select("_row", F.explode(found).alias("b"), *more).select("_row", "b.block", F.explode_outer("b.terms").alias("term"), *more)
 
-    def parts(self, df: DataFrame) -> DataFrame:
+    def parts(self, df: DataFrame, dealt: bool = False) -> DataFrame:
         """_row, size, indices (ascending), weights of every row of df: what a sparse vector holds. Texts are dealt by _row once; with
-        vocabularies that may be broadcast nothing else is shuffled."""
+        vocabularies that may be broadcast nothing else is shuffled. Not even that where df is dealt by _row already, as after a join on
+        it; if it is not after all, counts are shuffled and the result is the same."""
         known, base = None, 0
         for block, (column, _) in enumerate(self.blocks):
             table = self.tables[column].select(F.lit(block).alias("block"), "term", (F.col("at") + base).alias("at"), "idf")
@@ -145,7 +146,8 @@ class TextFeatures:
             base += self.sizes[column]
         if sum(self.bytes.values()) <= BROADCAST_BYTES:
             known = F.broadcast(known)
-        rows = self.term_rows(df.select("_row", *[c for c, _ in self.blocks]).repartition("_row"))
+        texts = df.select("_row", *[c for c, _ in self.blocks])
+        rows = self.term_rows(texts if dealt else texts.repartition("_row"))
         counts = rows.join(known, ["block", "term"], "left").groupBy("_row", "block", "at", "idf").count()
         entry = F.struct("at", "block", ((1 + F.log("count")) * F.col("idf")).alias("w"))
         lists = counts.groupBy("_row").agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), entry))).alias("e"))

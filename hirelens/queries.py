@@ -352,8 +352,10 @@ def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature set of the models at its own blocks: words and word pairs, 24 000 of description and all of job_title."""
-    rows = training(spark, sf_dir).withColumn("_row", F.col("jobid"))
-    found = features.ResearchSoftware().fit(rows).parts(rows)
+    # The training view's rows; titles are cut before the join, so that their vocabulary does not shuffle whole texts.
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_row"), F.col("text").alias("description"), F.substring("text", 1, 60).alias("job_title"))
+    rows = texts.join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_row")), "_row")
+    found = features.ResearchSoftware().fit(rows).parts(rows, dealt=True)
     return found.select(F.col("_row").alias("jobid"), "size", "indices", F.transform("weights", lambda w: F.round(w, 6)).alias("weights"))
 
 
