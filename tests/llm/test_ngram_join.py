@@ -141,3 +141,45 @@ def test_blocks_bounded_by_bytes(spark, monkeypatch):
     rows = made(9)
     got = sorted(map(tuple, N.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()), key=str)
     assert got == sorted(jaccard(rows, 4, 85), key=str)
+
+
+def test_short_sets_with_a_frequent_token_are_no_cluster(spark, monkeypatch):
+    """Their texts met in blocks, each block's with every other's: the square of the group."""
+    monkeypatch.setattr(N, "WIDE", 100)
+    r = random.Random(6)
+    texts = [" ".join(["a", "b", "c", "d", *[f"v{r.randrange(10**6)}" for _ in range(r.randrange(6))]]) for _ in range(600)]
+    near = " ".join(f"u{k}" for k in range(25))
+    texts += [f"{near} x{k}" for k in range(40)]
+    stored, write = [], N.materialise
+
+    def counted(df):
+        out = write(df)
+        if "text" in out.columns:
+            stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "materialise", counted)
+    rows = list(enumerate(texts))
+    got = sorted(map(tuple, N.similar_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()))
+    assert got == sorted(jaccard(rows, 4, 85))
+    assert stored[0] < 60
+
+
+@pytest.mark.parametrize("matrix", [0, 1000])
+def test_loose_forest_spans_what_parities_leave(matrix, monkeypatch):
+    monkeypatch.setattr(N, "MATRIX", matrix)
+    r = np.random.default_rng(3)
+    base = [r.integers(0, 1 << 63, 60).astype(np.uint64) for _ in range(12)]
+    sets = [np.unique(np.r_[base[i % 12][int(r.integers(0, 9)) :], r.integers(0, 1 << 63, 4).astype(np.uint64)]) for i in range(150)]
+    sizes = np.array([len(s) for s in sets])
+    sketches = np.stack(N.parities(np.concatenate(sets), np.r_[0, np.cumsum(sizes)]))
+    odd = np.bitwise_count(sketches[:, :, None] ^ sketches[:, None, :]).sum(axis=0, dtype=np.int64)
+    fits = 185 * np.maximum(odd, np.abs(sizes[:, None] - sizes)) <= 15 * (sizes[:, None] + sizes)
+    forest, found, edges = N._Forest(), N._Forest(), 0
+    for i, j in zip(*np.nonzero(fits), strict=True):
+        forest.join(int(i), int(j))
+    for x, y in zip(*(e.tolist() for e in N.loose_forest(sizes, sketches, 85)), strict=True):
+        assert fits[x, y] and found.join(x, y)
+        edges += 1
+    assert edges
+    assert [forest.find(i) for i in range(150)] == [found.find(i) for i in range(150)]
