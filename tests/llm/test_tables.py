@@ -113,6 +113,23 @@ def test_top_k_of_large_components(spark):
             topk.top_k(huge, huge, 5).collect()
 
 
+@pytest.mark.parametrize(("dim", "factor"), [(64, 1), (3, 1), (8, 1 << 14)])
+def test_batches_of_queries_walk_together(dim, factor, monkeypatch):
+    """As each query alone, with a product a step for all of them."""
+    r = np.random.RandomState(dim)
+    vectors = (r.randn(3000, dim).round(1) * 100).astype(np.int64) * factor
+    ids = np.r_[np.arange(2900), np.arange(100)].astype(np.int64)
+    lists = topk.SortedLists(ids, vectors)
+    queries, own = np.r_[vectors[:300], np.zeros((1, dim), np.int64)], np.r_[np.arange(300), 5]
+    place, rows, scores = lists.batch(queries, own, 5)
+    for i, (q, o) in enumerate(zip(queries, own, strict=True)):
+        want_rows, want = lists.top(q, o, 5)
+        assert lists.ids[rows[place == i]].tolist() == lists.ids[want_rows].tolist()
+        assert scores[place == i].tolist() == want.tolist()
+    monkeypatch.setattr(lists, "top", None)  # none of them is walked alone
+    lists.batch(queries, own, 5)
+
+
 def test_sharding(spark):
     r = random.Random(2)
     rows = [(i, "x" * r.randint(0, 300)) for i in range(400)] + [(1000, "y" * 5000), (1001, None), (None, "z"), (5, "same"), (5, "same"), (5, "same")]
