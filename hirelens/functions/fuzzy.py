@@ -3,8 +3,9 @@
 M matching characters of T in both texts are a ratio of 2 M / T. They bound what the texts share, whatever the order of the blocks:
 M is at most the shorter length and at most the number of characters that the texts share (repeats counted), and as a gap between two
 blocks has an unmatched character on one side at least, there are T - 2 M + 1 blocks at most, which leave 3 M - T - 1 pairs of
-neighbouring characters whole. Texts meet by an equi-join on the rarest of their characters, of which any two that can reach the
-ratio share one; what passes the three bounds gets the exact ratio.
+neighbouring characters whole. Texts meet by an equi-join on the rarest of their pairs of neighbours, of which any two that can reach
+the ratio share one; where that bound leaves no pair (short texts, low ratios), on the rarest of their characters. What passes the three
+bounds gets the exact ratio.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql.types import DoubleType
 from ..shared import release, written
 
 # Shares in percent, tried one after the other: a value whose best name is found at a higher one goes no further.
-TIERS = (100, 85)
-# Frequencies of characters are kept in so many counters, whatever the alphabet.
+TIERS = (100, 97, 92, 85)
+# Frequencies of characters and of pairs are kept in so many counters, whatever the alphabet.
 COUNTERS = 512
 
 
@@ -57,15 +58,37 @@ def _counter(mark: Column) -> Column:
     return F.pmod(F.xxhash64(mark), F.lit(COUNTERS)).cast("int")
 
 
-def _frequencies(names: DataFrame) -> Column:
-    """Uses of each counter among the names: COUNTERS numbers, however many names there are."""
-    found = dict(names.select(F.explode("chars").alias("c")).select(_counter(F.col("c")).alias("k")).groupBy("k").count().collect())
-    return F.array(*[F.lit(found.get(i, 0)).cast("long") for i in range(COUNTERS)])
+def _frequencies(names: DataFrame) -> dict[str, Column]:
+    """Uses of each counter among the names' chars and pairs: COUNTERS numbers of each, however many names there are."""
+    out = {}
+    for kind in ("chars", "pairs"):
+        found = dict(names.select(F.explode(kind).alias("c")).select(_counter(F.col("c")).alias("k")).groupBy("k").count().collect())
+        out[kind] = F.array(*[F.lit(found.get(i, 0)).cast("long") for i in range(COUNTERS)])
+    return out
+
+
+def _rare_first(rows: DataFrame, frequencies: dict[str, Column]) -> DataFrame:
+    def ordered(kind: str) -> Column:
+        found = F.array_sort(F.transform(kind, lambda x: F.struct(F.get(frequencies[kind], _counter(x)).alias("uses"), x.alias("x"))))
+        return F.transform(found, lambda x: x["x"])
+
+    return rows.withColumns({kind: ordered(kind) for kind in frequencies})
+
 
+def _marks(rows: DataFrame, percent: int) -> DataFrame:
+    """rows with rare: the marks of which any two texts that reach the ratio share one.
 
-def _rare_first(rows: DataFrame, frequencies: Column) -> DataFrame:
-    ordered = F.array_sort(F.transform("chars", lambda x: F.struct(F.get(frequencies, _counter(x)).alias("uses"), x.alias("x"))))
-    return rows.withColumn("chars", F.transform(ordered, lambda x: x["x"]))
+    A text of n characters shares least characters with any other, which so has least characters or more, and
+    (n + least) (3 percent / 200 - 1) - 1 pairs. Texts that share a pair by this bound meet on pairs, and those that may meet a text
+    for which it gives none on characters too."""
+    n, few, many = F.col("n"), F.lit(percent), F.lit(200 - percent)
+    least = F.ceil(n * few / many)
+    shared = lambda n: F.ceil((n + F.ceil(n * few / many)) * (3 * percent - 200) / 200) - 1
+    chars = F.transform(F.slice("chars", F.lit(1), (n - least + 1).cast("int")), lambda x: F.concat(F.lit("c"), x))
+    pairs = F.transform(F.slice("pairs", F.lit(1), F.greatest(n - shared(n), F.lit(0)).cast("int")), lambda x: F.concat(F.lit("p"), x))
+    none = F.array().cast("array<string>")
+    on_pairs, on_chars = shared(n) > 0, shared(least) <= 0
+    return rows.withColumn("rare", F.concat(F.when(on_pairs, pairs).otherwise(none), F.when(on_chars, chars).otherwise(none)))
 
 
 def _band(n: Column) -> Column:
@@ -79,8 +102,7 @@ def candidates(values: DataFrame, names: DataFrame, percent: int) -> DataFrame:
     """
     few, many = F.lit(percent), F.lit(200 - percent)
     least = F.ceil(F.col("n") * few / many)  # characters shared with any text that reaches the ratio
-    values = values.withColumn("rare", F.slice("chars", F.lit(1), (F.col("n") - least + 1).cast("int")))
-    names = names.withColumn("rare", F.slice("chars", F.lit(1), (F.col("n") - least + 1).cast("int")))
+    values, names = _marks(values, percent), _marks(names, percent)
     bands = F.sequence(_band(least), _band(F.floor(F.col("n") * many / few)))
     v = values.select("*", F.explode(bands).alias("band")).select("*", F.explode("rare").alias("mark"))
     v = v.select("band", "mark", F.struct("text", "n", "chars", "pairs", "rare").alias("v"))

@@ -74,3 +74,13 @@ def test_few_pairs_are_compared(spark):
     assert pairs.count() == pairs.select("value", "name").distinct().count()
     print(pairs.count(), v.count() * w.count())
     assert pairs.count() < 0.1 * v.count() * w.count()
+
+
+def test_far_fewer_pairs_meet_than_there_are(spark):
+    """Texts over few characters nearly all met on one of them."""
+    parts = damaged_parts(spark.read.parquet(f"{SF}/part.parquet"))
+    v, w = fuzzy._shares(parts.selectExpr("damaged AS text").distinct()), fuzzy._shares(parts.selectExpr("full AS text").distinct())
+    uses = fuzzy._frequencies(w)
+    v, w = (fuzzy._marks(fuzzy._rare_first(x, uses), 97).selectExpr("text", "explode(rare) AS mark") for x in (v, w))
+    met = v.join(w.withColumnRenamed("text", "name"), "mark").count()
+    assert met < 0.2 * v.select("text").distinct().count() * w.select("text").distinct().count()
