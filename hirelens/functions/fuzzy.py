@@ -3,7 +3,8 @@
 M matching characters of T in both texts are a ratio of 2 M / T. They bound what the texts share, whatever the order of the blocks:
 M is at most the shorter length and at most the number of characters that the texts share (repeats counted), and as a gap between two
 blocks has an unmatched character on one side at least, there are T - 2 M + 1 blocks at most, which leave 3 M - T - 1 pairs of
-neighbouring characters whole. Texts meet by an equi-join on the rarest of their pairs of neighbours, of which any two that can reach
+neighbouring characters whole. Texts of which one is the other without one of its characters meet first, on that text: nothing but
+an equal text has a higher ratio, so a value that finds its best there goes no further. Other texts meet by an equi-join on the rarest of their pairs of neighbours, of which any two that can reach
 the ratio share one; where that bound leaves no pair (short texts, low ratios), on the rarest of their characters. What passes the three
 bounds gets the exact ratio.
 """
@@ -23,6 +24,8 @@ from ..shared import release, written
 TIERS = (100, 97, 92, 85)
 # Frequencies of characters and of pairs are kept in so many counters, whatever the alphabet.
 COUNTERS = 512
+# Texts of so many characters meet those of one character less or more by the texts that are left without one of their characters.
+SHORT, LONG = 4, 128
 
 
 @F.pandas_udf(DoubleType())
@@ -119,6 +122,29 @@ def candidates(values: DataFrame, names: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _without_one(text: Column) -> Column:
+    """Digests of the texts without one of their characters, each once."""
+    places = F.sequence(F.lit(1), F.length(text))
+    return F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))))
+
+
+def one_apart(values: DataFrame, names: DataFrame) -> DataFrame:
+    """(value, name, position) of equal texts, and of those of which one is the other without one of its characters; each pair once.
+
+    values, of SHORT to LONG characters, and names have text and n. Equal digests propose; lengths tell the kinds of pairs apart, and
+    the ratio judges them.
+    """
+    near = names.where(F.col("n").between(SHORT - 1, LONG + 1))
+    whole = lambda df: df.select("text", "n", F.xxhash64("text").alias("digest"))
+    less = lambda df: df.select("text", "n", F.explode(_without_one(F.col("text"))).alias("digest"))
+    wide = near.select(F.col("text").alias("name"), F.col("n").alias("m"), "position", F.xxhash64("text").alias("digest"))
+    fewer = near.select(F.col("text").alias("name"), F.col("n").alias("m"), "position", F.explode(_without_one(F.col("text"))).alias("digest"))
+    same = whole(values).join(wide, "digest").where("text = name")
+    shorter = whole(values).join(fewer, "digest").where("n + 1 = m")
+    longer = less(values).join(wide, "digest").where("n = m + 1")
+    return same.unionByName(shorter).unionByName(longer).select(F.col("text").alias("value"), "name", "position")
+
+
 def closest_names(values: DataFrame, names: DataFrame, percent: int = 70) -> DataFrame:
     """(value, name, ratio): of each value the name of highest ratio, if that is percent or more; of equal ones that of least position.
 
@@ -134,16 +160,25 @@ def closest_names(values: DataFrame, names: DataFrame, percent: int = 70) -> Dat
     left = values.select(F.col("value").alias("text")).where(F.col("text").isNotNull() & (F.length("text") * percent <= longest * (200 - percent))).distinct()
     frequencies = _frequencies(listed)
     listed, plain = written(_rare_first(listed, frequencies)), listed
+    best = F.max(F.struct("ratio", (-F.col("position")).alias("place"), "name")).alias("best")
     left, tables, found = written(_rare_first(_shares(left), frequencies)), [], []
+    # With n characters and T in both, one character apart is a ratio of 1 - 1 / T, where T is 2 n - 1 at least; any other two texts that are
+    # not equal have 1 - 2 / T at most, where T is 2 n + 2 at most. That is less for n over 2.
+    values, both = left.where(F.col("n").between(SHORT, LONG)), F.length("value") + F.length("name")
+    scored = one_apart(values, listed).withColumn("ratio", _ratio("value", "name")).where((F.col("ratio") >= (both - 1) / both) & (F.col("ratio") >= percent / 100))
+    found.append(written(scored.groupBy("value").agg(best).select("value", "best.name", "best.ratio")))
+    tables.append(left)
+    left = written(left.join(found[0].select(F.col("value").alias("text")), "text", "left_anti"))
     for share in [t for t in TIERS if t > percent] + [percent]:
-        best = F.max(F.struct("ratio", (-F.col("position")).alias("place"), "name")).alias("best")
+        if left.isEmpty():
+            break
         scored = candidates(left, listed, share).withColumn("ratio", _ratio("value", "name")).where(F.col("ratio") >= share / 100)
         done = written(scored.groupBy("value").agg(best).select("value", "best.name", "best.ratio"))
         found.append(done)
-        tables.append(left)
         if share > percent:
+            tables.append(left)
             left = written(left.join(done.select(F.col("value").alias("text")), "text", "left_anti"))
-    release(plain, listed, *tables)
+    release(plain, listed, left, *tables)
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)

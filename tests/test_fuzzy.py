@@ -84,3 +84,17 @@ def test_far_fewer_pairs_meet_than_there_are(spark):
     v, w = (fuzzy._marks(fuzzy._rare_first(x, uses), 97).selectExpr("text", "explode(rare) AS mark") for x in (v, w))
     met = v.join(w.withColumnRenamed("text", "name"), "mark").count()
     assert met < 0.2 * v.select("text").distinct().count() * w.select("text").distinct().count()
+
+
+def test_values_one_character_apart_go_no_further(spark, monkeypatch):
+    """No join on frequent neighbours where the best name has one character more, less, or none; equal ratios go to the first."""
+    names = ["small ring", "small rings", "smal ring", "large bolt", "largebolt", "aaaa", "abab", "babab", "𝄞é𝄞é1", "𝄞é𝄞é2"]
+    values = ["small ring", "small rin", "mall rings", "large  bolt", "aaaaa", "abaab", "𝄞é𝄞é", "smallring"]
+    want = {v: plain(v, names) for v in values}
+
+    def never(*_):
+        raise AssertionError("a join on marks")
+
+    monkeypatch.setattr(fuzzy, "candidates", never)
+    found = matched(spark, values, names)
+    assert {v: found[v][0] for v in values} == want
